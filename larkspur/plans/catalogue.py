@@ -1,4 +1,4 @@
 """Importing this module fills the catalogue."""
 
-from larkspur.plans import relational  # noqa: F401
+from larkspur.plans import relational, scalar  # noqa: F401
 from larkspur.plans.registry import CATALOGUE  # noqa: F401

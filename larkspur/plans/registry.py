@@ -37,6 +37,8 @@ class Query:
     sql: str | None
 
     def __call__(self, spark: SparkSession, folder: str) -> DataFrame:
+        # Times are wall-clock UTC throughout, whatever the machine's zone.
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
         return self.build(Tables(spark, folder))
 
 

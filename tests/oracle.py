@@ -76,7 +76,6 @@ def difference(got, want):
     if gc != wc:
         return f"columns {gc} != {wc}"
     if len(gr) != len(wr):
-        extra = [r for r in gr if r not in set(map(_key, wr))][:2] if False else None
         return f"rows {len(gr)} != {len(wr)}; first {gr[:2]} | {wr[:2]}"
     for g, w in zip(gr, wr):
         if g != w:
