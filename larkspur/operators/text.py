@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import Word2Vec
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -62,62 +64,45 @@ def tfidf_topk(counts: DataFrame, idf: DataFrame, k: int = 20) -> DataFrame:
     return best.select(*DOC, "keyword", F.round("tfidf", 4).alias("tfidf"))
 
 
-def cooccurrence(words: DataFrame, window: int = 5) -> DataFrame:
-    """Words at most ``window - 1`` positions apart, both directions, with counts."""
-    ahead = F.flatten(F.transform(
-        F.sequence(F.lit(1), F.lit(window - 1)),
-        lambda gap: F.transform(
-            F.arrays_zip(
-                F.slice("words", 1, F.greatest(F.size("words") - gap, F.lit(0))).alias("a"),
-                F.slice("words", gap + 1, F.size("words")).alias("b")),
-            lambda p: p)))
-    pairs = words.select("article_id", F.explode(ahead).alias("p")).select("article_id", "p.a", "p.b")
-    counted = pairs.groupBy("article_id", "a", "b").agg(F.count("*").alias("n"))
-    both = F.explode(F.array(F.struct(F.col("a").alias("src"), F.col("b").alias("dst")),
-                             F.struct(F.col("b").alias("src"), F.col("a").alias("dst"))))
-    return (
-        counted.select("article_id", both.alias("e"), "n").select("article_id", "e.src", "e.dst", "n")
-        .groupBy("article_id", "src", "dst").agg(F.sum("n").alias("w"))
-    )
-
-
 def textrank(words: DataFrame, k: int = 20, window: int = 5, damping: float = 0.85, rounds: int = 10) -> DataFrame:
     """Best ``k`` words of each article by rank in its co-occurrence graph.
 
-    The graph of one article is no larger than its text times the window, so it
-    is held as one row: node ``i`` has the list of its neighbours and their
-    share.  All rounds then run inside that row, without a shuffle per round.
+    The graph of an article is no larger than its text times the window, and
+    articles do not touch each other.  So each is ranked where its row lies:
+    one pass in Arrow batches, no shuffle for the graph nor for its rounds, and
+    at most ``k`` rows per article leave the task.
     """
-    edges = cooccurrence(words, window)
-    # Weights are symmetric, so the out-sum of a node is the sum of its incoming weights.
-    nodes = (
-        edges.groupBy("article_id", F.col("dst").alias("word"))
-        .agg(F.collect_list(F.struct("src", "w")).alias("near"), F.sum("w").alias("out"))
-    )
-    graphs = nodes.groupBy("article_id").agg(F.array_sort(F.collect_list(F.struct("word", "out", "near"))).alias("g"))
-    spots = F.map_from_entries(F.transform("g", lambda n, i: F.struct(n["word"], F.struct((i + 1).alias("at"), n["out"].alias("out")))))
-    linked = F.transform("g", lambda n: F.transform(
-        n["near"], lambda e: F.struct(
-            F.col("spots")[e["src"]]["at"].alias("at"),
-            (e["w"] / F.col("spots")[e["src"]]["out"]).alias("share"))))
-    start = F.transform("g", lambda n: F.lit(1.0) / F.size("g"))
-    final = F.aggregate(
-        F.sequence(F.lit(1), F.lit(rounds)), F.col("start"),
-        lambda rank, _: F.transform("linked", lambda near: (1 - damping) + damping * F.aggregate(
-            near, F.lit(0.0), lambda acc, e: acc + e["share"] * F.element_at(rank, e["at"]))))
-    ranked = (
-        graphs.withColumn("spots", spots).withColumn("linked", linked).withColumn("start", start)
-        .select("article_id", F.col("g.word").alias("word"), final.alias("rank"))
-    )
-    low, high = F.array_min("rank"), F.array_max("rank")
-    scaled = F.transform("rank", lambda r: (r - low / 10) / (high - low / 10))
-    scored = (
-        ranked.select("article_id", F.explode(F.arrays_zip(F.col("word"), scaled.alias("score"))).alias("x"))
-        .select("article_id", F.col("x.word").alias("keyword"), F.round("x.score", 9).alias("textrank"))
-    )
-    best = windows.top_k(scored, ["article_id"], [F.desc("textrank"), F.asc("keyword")], k)
-    channels = words.select(*DOC)
-    return best.join(channels, "article_id").select(*DOC, "keyword", F.round("textrank", 6).alias("textrank"))
+
+    def rank_one(tokens):
+        code, vocabulary = pd.factorize(np.asarray(tokens, dtype=object), sort=True)
+        n, steps = len(vocabulary), range(1, min(window, len(code)))
+        first = np.concatenate([code[:-g] for g in steps])
+        second = np.concatenate([code[g:] for g in steps])
+        cells, count = np.unique(np.concatenate([first * n + second, second * n + first]), return_counts=True)
+        src, dst = np.divmod(cells, n)
+        share = count / np.bincount(src, weights=count, minlength=n)[src]
+        rank = np.full(n, 1.0 / n)
+        for _ in range(rounds):
+            rank = (1 - damping) + damping * np.bincount(dst, weights=share * rank[src], minlength=n)
+        low, high = rank.min(), rank.max()
+        score = np.round((rank - low / 10) / (high - low / 10), 9)
+        best = np.lexsort((np.arange(n), -score))[:k]
+        return vocabulary[best], score[best]
+
+    def rank_batches(batches):
+        for pdf in batches:
+            scored = [rank_one(tokens) for tokens in pdf["words"]]
+            sizes = [len(kept) for kept, _ in scored]
+            if sizes:
+                yield pd.DataFrame({
+                    "article_id": np.repeat(pdf["article_id"].to_numpy(), sizes),
+                    "channel_id": np.repeat(pdf["channel_id"].to_numpy(), sizes),
+                    "keyword": np.concatenate([kept for kept, _ in scored]),
+                    "textrank": np.concatenate([score for _, score in scored])})
+
+    ranked = words.filter(F.size("words") > 1).mapInPandas(
+        rank_batches, "article_id long, channel_id int, keyword string, textrank double")
+    return ranked
 
 
 def keyword_weights(ranked: DataFrame, idf: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from larkspur import fixtures as fx
 from larkspur.functions import text as tx
 from larkspur.operators import behaviour, sampling, similarity, text
 from larkspur.plans.registry import query
+from larkspur.session import materialise
 
 STAMP = "yyyy-MM-dd HH:mm:ss"
 WORD_KEY = "CAST(('0x' || substr(md5(keyword), 1, 15)) AS BIGINT)"
@@ -39,7 +40,7 @@ def rank_rounds(rounds: int = 10) -> str:
           FROM shares s JOIN r{i - 1} r ON s.article_id = r.article_id AND s.src = r.word GROUP BY 1, 2)""")
     parts.append(f"""scaled AS (SELECT article_id, word, round((r - lo / 10) / (hi - lo / 10), 9) AS s FROM (
           SELECT *, min(r) OVER w AS lo, max(r) OVER w AS hi FROM r{rounds} WINDOW w AS (PARTITION BY article_id)))""")
-    parts.append("""ranked AS MATERIALIZED (SELECT s.article_id, a.channel_id, word AS keyword, round(s, 6) AS textrank FROM (
+    parts.append("""ranked AS MATERIALIZED (SELECT s.article_id, a.channel_id, word AS keyword, s AS textrank FROM (
           SELECT *, row_number() OVER (PARTITION BY article_id ORDER BY s DESC, encode(word)) AS rn FROM scaled) s
           JOIN f_articles a ON s.article_id = a.article_id WHERE rn <= 20)""")
     return ", ".join(parts)
@@ -166,7 +167,7 @@ def join_theta_topic(t):
   SELECT article_id, channel_id, n_keywords, round(total, 5) AS total, topics FROM maps JOIN sets USING (article_id)""")
 def app_article_profile(t):
     _, words, counts, idf = word_tables(t)
-    ranked = text.textrank(words)
+    ranked = materialise(text.textrank(words), "textrank-keywords")
     profile = text.article_profile(
         text.keyword_weights(ranked, idf), text.topics(text.tfidf_topk(counts, idf), ranked))
     total = F.aggregate(F.map_values("keywords"), F.lit(0.0), lambda acc, x: acc + x)
