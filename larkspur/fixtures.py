@@ -202,6 +202,22 @@ def item_vectors(t) -> DataFrame:
         F.col("embedding").cast("array<double>").alias("vec"))
 
 
+def item_similar(t) -> DataFrame:
+    """Ten similar items per item: the nearest of twelve fixed partners."""
+    from larkspur.functions import vectors as vx
+    from larkspur.operators import windows
+
+    n = t.embeddings.select(F.count("*")).scalar()
+    items = item_vectors(t)
+    partner = F.pmod(F.col("item_id") + F.col("j") * 37, n)
+    pairs = (
+        items.withColumn("j", F.explode(F.sequence(F.lit(1), F.lit(12)))).withColumn("similar_id", partner)
+        .join(items.select(F.col("item_id").alias("similar_id"), F.col("vec").alias("other")), "similar_id")
+        .select("item_id", "similar_id", F.round(vx.euclidean(F.col("vec"), F.col("other")), 6).alias("distance"))
+    )
+    return windows.top_k(pairs, ["item_id"], [F.asc("distance"), F.asc("similar_id")], 10).drop("rank")
+
+
 VIEW_SQL: dict[str, str] = {
     "f_actions_log": """
         SELECT event_id, user_id, ts AS action_time,
@@ -291,6 +307,12 @@ VIEW_SQL: dict[str, str] = {
     "f_baskets": """
         SELECT l_orderkey, list_sort(list(DISTINCT p_type)) AS items
         FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey""",
+    "f_similar": """
+        SELECT item_id, similar_id, distance FROM (SELECT *, row_number() OVER (PARTITION BY item_id
+            ORDER BY distance, similar_id) AS rn FROM (
+          SELECT a.item_id, b.item_id AS similar_id, round(list_distance(a.vec, b.vec), 6) AS distance
+          FROM f_item_vectors a, range(1, 13) AS g(j), f_item_vectors b
+          WHERE b.item_id = (a.item_id + j * 37) % (SELECT count(*) FROM embeddings))) WHERE rn <= 10""",
     "f_item_vectors": """
         SELECT vec_id AS item_id, label + 1 AS channel_id, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings""",
 }
@@ -298,20 +320,21 @@ VIEW_SQL: dict[str, str] = {
 
 def with_views(names: list[str], sql: str) -> str:
     """Put the text of every view the SQL mentions, direct or not, in front of it."""
-    needed: set[str] = set()
+    needed: list[str] = []
+
+    def add(name: str) -> None:
+        if name in VIEW_SQL and name not in needed:
+            mentioned(VIEW_SQL[name])
+            needed.append(name)
 
-    def visit(body: str) -> None:
-        for word in set(re.findall(r"\bf_[a-z_]+\b", body)):
-            if word in VIEW_SQL and word not in needed:
-                needed.add(word)
-                visit(VIEW_SQL[word])
+    def mentioned(body: str) -> None:
+        for word in sorted(set(re.findall(r"\bf_[a-z_]+\b", body))):
+            add(word)
 
-    visit(sql)
+    mentioned(sql)
     for name in names:
-        if name not in needed:
-            needed.add(name)
-            visit(VIEW_SQL[name])
-    parts = [f"{name} AS ({body.strip()})" for name, body in VIEW_SQL.items() if name in needed]
+        add(name)
+    parts = [f"{name} AS ({VIEW_SQL[name].strip()})" for name in needed]
     if not parts:
         return sql.strip()
     return f"WITH {', '.join(parts)} SELECT * FROM ({sql.strip()}) AS result"
