@@ -29,10 +29,12 @@ def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Seq
     return df.groupBy(*keys).agg(picked).select(*keys, "picked.*")
 
 
-def _bounds(df: DataFrame, column: str, ranges: int) -> Column:
-    """Approximate quantiles of a numeric column as one scalar array."""
+def _bounds(df: DataFrame, columns: Sequence[str], ranges: int) -> Column:
+    """Approximate quantiles of numeric columns, one array each, from a single pass."""
     probs = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
-    return df.select(F.array_distinct(F.percentile_approx(F.col(column).cast("double"), probs, F.lit(2000)))).scalar()
+    cut = [F.array_distinct(F.percentile_approx(F.col(c).cast("double"), probs, F.lit(2000))).alias(f"b{i}")
+           for i, c in enumerate(columns)]
+    return df.agg(*cut).select(F.struct(*[f"b{i}" for i in range(len(columns))])).scalar()
 
 
 def with_ranges(df: DataFrame, order: str, tie: str, ranges: int = RANGES) -> DataFrame:
@@ -42,15 +44,15 @@ def with_ranges(df: DataFrame, order: str, tie: str, ranges: int = RANGES) -> Da
     range is cut again by the tie column; so one repeated value cannot make one
     large range.
     """
-    bounded = df.withColumn("_b", _bounds(df, order, ranges)).withColumn("_t", _bounds(df, tie, ranges))
+    bounded = df.withColumn("_q", _bounds(df, [order, tie], ranges))
     x = F.col(order).cast("double")
-    below = F.size(F.filter("_b", lambda b: b < x))
-    own = F.array_contains("_b", x)
-    tie_range = F.size(F.filter("_t", lambda b: b < F.col(tie).cast("double")))
+    below = F.size(F.filter(F.col("_q")["b0"], lambda b: b < x))
+    own = F.array_contains(F.col("_q")["b0"], x)
+    tie_range = F.size(F.filter(F.col("_q")["b1"], lambda b: b < F.col(tie).cast("double")))
     return (
         bounded.withColumn("r1", 2 * below + own.cast("int"))
         .withColumn("r2", F.when(own, tie_range).otherwise(F.lit(0)))
-        .drop("_b", "_t")
+        .drop("_q")
     )
 
 
@@ -71,9 +73,9 @@ def position(df: DataFrame, order: str, tie: str, keys: Sequence[str] = (), name
 
 def running_total(df: DataFrame, keys: Sequence[str], order: str, value: str, name: str) -> DataFrame:
     """Running sum of ``value`` by ``order``; (keys, order) must be unique."""
-    ranged = df.withColumn("_b", _bounds(df, order, RANGES))
+    ranged = df.withColumn("_q", _bounds(df, [order], RANGES))
     x = F.col(order).cast("double")
-    ranged = ranged.withColumn("r1", F.size(F.filter("_b", lambda b: b < x))).drop("_b")
+    ranged = ranged.withColumn("r1", F.size(F.filter(F.col("_q")["b0"], lambda b: b < x))).drop("_q")
     slot = [*keys, "r1"]
     sums = ranged.groupBy(*slot).agg(F.sum(value).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("r1").rowsBetween(Window.unboundedPreceding, -1)

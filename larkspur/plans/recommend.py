@@ -73,7 +73,7 @@ def merged(t):
 
 def split(t):
     scored = merged(t).withColumn("score", sampling.hash_number(F.col("user_id"), F.col("item_id")))
-    return recall.split_results(scored, served=5, page=10)
+    return recall.split_results(materialise(scored, "merged-recalls"), served=5, page=10)
 
 
 @query(f"WITH {CONTENT} SELECT user_id, channel_id, item_id, distance FROM content")
