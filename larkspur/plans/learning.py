@@ -358,10 +358,11 @@ def fe_ctr_pipeline(t):
 # models -------------------------------------------------------------------
 
 def line_samples(t):
-    """Line items: is the price high, and the price itself, from quantity, discount, tax and line number."""
+    """Line items: is the discounted quantity high, and the net amount, from quantity, discount, tax and line number."""
+    net = F.col("l_quantity") * (1 - F.col("l_discount"))
     parts = F.array(*[F.col(c).cast("double") for c in ("l_quantity", "l_discount", "l_tax", "l_linenumber")])
     return t.lineitem.select("l_orderkey", "l_linenumber", array_to_vector(parts).alias("features"),
-                             (F.col("l_extendedprice") > 40000).cast("double").alias("label"), F.col("l_extendedprice").alias("price"))
+                             (net > 24).cast("double").alias("label"), (net * (1 + F.col("l_tax")) * 100).alias("price"))
 
 
 def halves(t):
