@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.functions import text as tx
+from larkspur.session import spread
 
 AS_OF = "2024-02-01 00:00:00"
 CHANNELS = 25
@@ -57,7 +58,7 @@ def user_article_basic(t) -> DataFrame:
 def articles(t) -> DataFrame:
     channel = F.regexp_extract("source", "([0-9]+)", 1).cast("int") + 1
     title = F.element_at(F.split("text", "\n"), 1)
-    return t.documents.select(
+    return spread(t.documents.select("doc_id", "source", "text")).select(
         F.col("doc_id").alias("article_id"), channel.alias("channel_id"),
         F.col("source").alias("channel_name"), title.alias("title"), F.col("text").alias("content"),
         F.concat_ws(",", "source", title, "text").alias("sentence"),

@@ -33,10 +33,9 @@ def raw_words(text: Column) -> Column:
 
 def topic_words(text: Column) -> Column:
     """Words without tags, stop words and one- or two-letter Latin words."""
-    stop = F.array(*[F.lit(w) for w in STOP_WORDS])
     return F.filter(
         raw_words(strip_tags(text)),
-        lambda w: ~F.array_contains(stop, w) & ~w.rlike(SHORT_LATIN),
+        lambda w: ((F.length(w) > 2) | ~w.rlike(SHORT_LATIN)) & ~w.isin(STOP_WORDS),
     )
 
 

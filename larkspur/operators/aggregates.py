@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.functions import text as tx
+from larkspur.session import spread
 
 LIST_SIZE = 1000
 
@@ -34,7 +35,7 @@ def longest_word(words: DataFrame, column: str) -> DataFrame:
 
 
 def word_counts(texts: Column, df: DataFrame) -> DataFrame:
-    return df.select(F.explode(tx.raw_words(texts)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    return spread(df).select(F.explode(tx.raw_words(texts)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
 
 
 def kmers(df: DataFrame, column: str, k: int) -> DataFrame:
@@ -45,7 +46,7 @@ def kmers(df: DataFrame, column: str, k: int) -> DataFrame:
     grams = F.transform(
         F.sequence(F.lit(1), F.size("words") - k + 1), lambda i: F.concat_ws(" ", F.slice("words", i, k)))
     return (
-        df.select(line).select(words.alias("words")).filter(F.size("words") >= k)
+        spread(df).select(line).select(words.alias("words")).filter(F.size("words") >= k)
         .select(F.explode(grams).alias("kmer")).groupBy("kmer").agg(F.count("*").alias("n"))
     )
 

@@ -46,9 +46,11 @@ def rank_rounds(rounds: int = 10) -> str:
     return ", ".join(parts)
 
 
-def word_tables(t):
+def word_tables(t, keep_words: bool = False):
     articles = fx.articles(t)
     words = text.tokenize(articles)
+    if keep_words:
+        words = materialise(words, "article-words")
     counts = text.term_counts(words)
     return articles, words, counts, text.idf_table(counts, articles)
 
@@ -138,7 +140,7 @@ def app_textrank(t):
 @query(f"""WITH {IDF}, {rank_rounds()} SELECT article_id, channel_id, r.keyword AS keyword, round(textrank * idf, 6) AS weight
   FROM ranked r JOIN idf i ON r.keyword = i.keyword""")
 def app_keyword_weights(t):
-    _, words, _, idf = word_tables(t)
+    _, words, _, idf = word_tables(t, keep_words=True)
     maps = text.keyword_weights(text.textrank(words), idf)
     return (maps.select("article_id", "channel_id", F.explode("keywords").alias("keyword", "weight"))
             .withColumn("weight", F.round("weight", 6)))
@@ -147,7 +149,7 @@ def app_keyword_weights(t):
 @query(f"""WITH {TFIDF}, {rank_rounds()} SELECT t.article_id, array_to_string(list_sort(list(DISTINCT t.keyword)), ',') AS topics
   FROM tfidf t JOIN ranked r ON t.article_id = r.article_id AND t.keyword = r.keyword GROUP BY 1""")
 def app_topics(t):
-    _, words, counts, idf = word_tables(t)
+    _, words, counts, idf = word_tables(t, keep_words=True)
     sets = text.topics(text.tfidf_topk(counts, idf), text.textrank(words))
     return sets.select("article_id", F.array_join("topics", ",").alias("topics"))
 
@@ -155,7 +157,7 @@ def app_topics(t):
 @query(f"""WITH {TFIDF}, {rank_rounds()} SELECT t.article_id, array_to_string(list_sort(list(DISTINCT t.keyword)), ',') AS topics
   FROM tfidf t WHERE t.keyword IN (SELECT keyword FROM ranked) GROUP BY 1""")
 def join_theta_topic(t):
-    _, words, counts, idf = word_tables(t)
+    _, words, counts, idf = word_tables(t, keep_words=True)
     sets = text.topics(text.tfidf_topk(counts, idf), text.textrank(words), global_match=True)
     return sets.select("article_id", F.array_join("topics", ",").alias("topics"))
 
@@ -166,7 +168,7 @@ def join_theta_topic(t):
     FROM tfidf t JOIN ranked r ON t.article_id = r.article_id AND t.keyword = r.keyword GROUP BY 1)
   SELECT article_id, channel_id, n_keywords, round(total, 5) AS total, topics FROM maps JOIN sets USING (article_id)""")
 def app_article_profile(t):
-    _, words, counts, idf = word_tables(t)
+    _, words, counts, idf = word_tables(t, keep_words=True)
     ranked = materialise(text.textrank(words), "textrank-keywords")
     profile = text.article_profile(
         text.keyword_weights(ranked, idf), text.topics(text.tfidf_topk(counts, idf), ranked))

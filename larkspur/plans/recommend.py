@@ -377,7 +377,7 @@ def app_lfm(t):
     means = rated.groupBy("movie_id").agg(F.avg("rating").alias("m"))
     labelled = rated.join(means, "movie_id").select(
         "user_id", "movie_id", (F.col("rating") >= 4).cast("int").alias("label"), "m")
-    balanced = windows.head_balance(labelled, "user_id", "movie_id", "label", "m")
+    balanced = windows.head_balance(materialise(labelled, "labelled-ratings"), "user_id", "movie_id", "label", "m")
     signs = balanced.withColumn("sign", F.when(F.col("label") == 1, 1.0).otherwise(-1.0))
     model = ratings.fit_als(signs, rating="sign", rank=8)
     best = model.recommendForAllUsers(10).select("user_id", F.posexplode("recommendations").alias("pos", "r"))

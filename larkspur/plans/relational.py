@@ -11,6 +11,7 @@ from larkspur.functions import text as tx
 from larkspur.operators import aggregates as ag
 from larkspur.operators import cleaning, joins, sampling, windows
 from larkspur.plans.registry import query
+from larkspur.session import materialise
 
 DAY = "yyyy-MM-dd"
 STAMP = "yyyy-MM-dd HH:mm:ss"
@@ -578,6 +579,7 @@ def win_head_balance(t):
     means = rated.groupBy("movie_id").agg(F.avg("rating").alias("m"))
     labelled = (rated.join(means, "movie_id")
                 .select("user_id", "movie_id", (F.col("rating") >= 4).cast("int").alias("label"), "m"))
+    labelled = materialise(labelled, "labelled-ratings")
     return (windows.head_balance(labelled, "user_id", "movie_id", "label", "m")
             .select("user_id", "movie_id", "label", "place"))
 
@@ -649,7 +651,7 @@ def smp_split(t):
 def smp_negative(t):
     seen = fx.ratings(t).filter("rating >= 4").select("user_id", F.col("movie_id").alias("item_id"))
     pool = windows.dense_ids(t.part.select(F.col("p_partkey").alias("item_id")), "item_id", "slot")
-    drawn = sampling.negatives(seen, pool)
+    drawn = materialise(sampling.negatives(seen, pool), "drawn-negatives")
     placed = windows.position(drawn, "luck", "item_id", keys=["user_id"], name="place")
     return placed.filter(F.col("place") <= F.col("quota")).select("user_id", "item_id")
 
