@@ -61,7 +61,7 @@ def grouped_scores(df: DataFrame, keys: Sequence[str], value: str, row_id: str,
         F.ceil(F.count("*") / F.lit(size)).alias("slices"))
     sliced = (
         df.select(*keys, row_id, value).join(stats, list(keys))
-        .withColumn("slice", F.pmod(F.col(row_id), F.col("slices")))
+        .withColumn("slice", F.pmod(F.xxhash64(row_id), F.col("slices")))
     )
 
     def score(pdf):

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.functions import text as tx
+from larkspur.operators.sampling import hash_number
 from larkspur.session import spread
 
 LIST_SIZE = 1000
@@ -18,12 +19,13 @@ def collect_chunks(df: DataFrame, keys: Sequence[str], item: str, row_id: str, n
     """Values per key as sorted lists of about ``size``; large keys get several.
 
     The number of lists of a key follows from its row count, and a row goes to
-    list ``row_id mod lists``; no list grows with the size of its key.
+    the list its hashed ``row_id`` names; no list grows with the size of its key.
     """
+    one_of = F.when(F.col("_lists") == 1, F.lit(0)).otherwise(F.pmod(hash_number(F.col(row_id)), F.col("_lists")))
     lists = df.groupBy(*keys).agg(F.ceil(F.count("*") / F.lit(size)).alias("_lists"))
     return (
         df.join(lists, list(keys))
-        .withColumn("chunk", F.pmod(F.col(row_id), F.col("_lists")))
+        .withColumn("chunk", one_of)
         .groupBy(*keys, "chunk").agg(F.array_sort(F.collect_list(item)).alias(name))
     )
 

@@ -300,7 +300,7 @@ def join_semi_filter(t):
 
 @query("""SELECT coalesce(a.k, b.k) AS k, coalesce(a.chunk, b.chunk) AS chunk, left_items, right_items FROM
   (SELECT k, chunk, array_to_string(list_sort(list(o_orderkey)), ',') AS left_items FROM (
-     SELECT o_custkey AS k, o_orderkey, o_orderkey % CAST(ceil(count(*) OVER (PARTITION BY o_custkey) / 1000) AS BIGINT)
+     SELECT o_custkey AS k, o_orderkey, CAST(('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8)) AS BIGINT) % CAST(ceil(count(*) OVER (PARTITION BY o_custkey) / 1000) AS BIGINT)
        AS chunk FROM orders) GROUP BY k, chunk) a
   FULL JOIN (SELECT c_custkey AS k, 0 AS chunk, c_name AS right_items FROM customer) b
     ON a.k = b.k AND a.chunk = b.chunk""")
@@ -367,7 +367,7 @@ def agg_combine_by_key(t):
 
 
 @query("""SELECT user_id, chunk, array_to_string(list_sort(list(event_id)), ',') AS ids, count(*) AS n FROM (
-  SELECT user_id, event_id, event_id % CAST(ceil(count(*) OVER (PARTITION BY user_id) / 50) AS BIGINT) AS chunk
+  SELECT user_id, event_id, CAST(('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 8)) AS BIGINT) % CAST(ceil(count(*) OVER (PARTITION BY user_id) / 50) AS BIGINT) AS chunk
   FROM events) GROUP BY 1, 2""")
 def agg_group_by_key(t):
     lists = ag.collect_chunks(t.events.select("user_id", "event_id"), ["user_id"], "event_id", "event_id", "ids", 50)
@@ -440,7 +440,7 @@ def agg_cube(t):
 @query("""SELECT a.o_custkey, statuses, chunk, keys FROM
   (SELECT o_custkey, array_to_string(list_sort(list(DISTINCT o_orderstatus)), ',') AS statuses FROM orders GROUP BY 1) a
   JOIN (SELECT o_custkey, chunk, array_to_string(list_sort(list(o_orderkey)), ',') AS keys FROM (
-    SELECT o_custkey, o_orderkey, o_orderkey % CAST(ceil(count(*) OVER (PARTITION BY o_custkey) / 1000) AS BIGINT) AS chunk
+    SELECT o_custkey, o_orderkey, CAST(('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8)) AS BIGINT) % CAST(ceil(count(*) OVER (PARTITION BY o_custkey) / 1000) AS BIGINT) AS chunk
     FROM orders) GROUP BY 1, 2) b ON a.o_custkey = b.o_custkey""")
 def agg_collect(t):
     sets = t.orders.groupBy("o_custkey").agg(

@@ -197,7 +197,7 @@ def last_actions(log: DataFrame, n: int, salts: int = 4, delay: str = "1 day", i
         yield pd.DataFrame({"user_id": [key[0]], "salt": [key[1]], "micros": [[h[0] for h in held]], "ids": [[h[1] for h in held]]})
 
     keyed = log.withWatermark("action_time", delay).select(
-        "user_id", F.pmod(F.col("event_id"), F.lit(salts)).alias("salt"), "event_id", "action_time",
+        "user_id", F.pmod(F.xxhash64("event_id"), F.lit(salts)).alias("salt"), "event_id", "action_time",
         F.unix_micros("action_time").alias("micros"))
     states = keyed.groupBy("user_id", "salt").applyInPandasWithState(
         keep, "user_id long, salt long, micros array<long>, ids array<long>", "micros array<long>, ids array<long>",
