@@ -123,7 +123,7 @@ def app_count_vectors(t):
 
 @query(f"""WITH {IDF} SELECT keyword, round(idf, 8) AS idf, row_number() OVER (ORDER BY total DESC, {WORD_KEY}) - 1 AS index FROM idf""")
 def app_idf_table(t):
-    return text.indexed(word_tables(t)[3]).withColumn("idf", F.round("idf", 8))
+    return text.indexed(materialise(word_tables(t)[3], "idf-keywords")).withColumn("idf", F.round("idf", 8))
 
 
 @query(f"WITH {TFIDF} SELECT article_id, channel_id, keyword, tfidf FROM tfidf")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+import contextlib
+import io
+
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -14,7 +16,6 @@ from larkspur.plans.registry import query
 from larkspur.session import materialise
 
 DAY = "yyyy-MM-dd"
-STAMP = "yyyy-MM-dd HH:mm:ss"
 HASH = "CAST(('0x' || substr(md5({}), 1, 8)) AS BIGINT)"
 
 
@@ -679,8 +680,10 @@ def par_cache(t):
 @query()
 def par_explain(t):
     filtered = t.lineitem.filter("l_quantity > 45").select("l_orderkey", "l_quantity")
-    plan = filtered._jdf.queryExecution().toString()
-    pushed = "PushedFilters: [IsNotNull(l_quantity), GreaterThan(l_quantity,45.0)]" in plan
+    shown = io.StringIO()
+    with contextlib.redirect_stdout(shown):
+        filtered.explain("formatted")
+    pushed = "GreaterThan(l_quantity,45.0)" in shown.getvalue()
     return filtered.agg(F.count("*").alias("n")).withColumn("filter_pushed", F.lit(pushed))
 
 

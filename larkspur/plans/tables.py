@@ -12,7 +12,7 @@ from larkspur.functions import stages, udfs
 from larkspur.functions import vectors as vx
 from larkspur.operators import behaviour
 from larkspur.plans.registry import query
-from larkspur.session import work_path
+from larkspur.session import spread, work_path
 from larkspur.sources import files, keyed
 
 STAMP = "yyyy-MM-dd HH:mm:ss"
@@ -30,7 +30,8 @@ def src_csv(t):
 def src_csv_corrupt(t):
     whole = F.concat_ws(",", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag")
     cut = F.concat_ws(",", "l_orderkey", "l_partkey")
-    lines = t.lineitem.select(F.when(F.col("l_orderkey") % 7 == 0, cut).otherwise(whole).alias("line"))
+    source = spread(t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag"))
+    lines = source.select(F.when(F.col("l_orderkey") % 7 == 0, cut).otherwise(whole).alias("line"))
     good, bad = files.parse_lines(
         lines, "line", "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_returnflag string")
     kept = good.agg(F.count("*").alias("n"), F.sum("l_orderkey").alias("keys")).withColumn("kind", F.lit("good"))
