@@ -50,7 +50,8 @@ def scale(a: Column, factor: Column) -> Column:
 
 
 def literal(values: Sequence[float]) -> Column:
-    return F.array(*[F.lit(float(v)) for v in values])
+    """A constant vector, sent to the JVM as one piece of text."""
+    return F.expr("array(" + ", ".join(f"{float(v)!r}D" for v in values) + ")")
 
 
 def nan_to_zero(a: Column) -> Column:
