@@ -92,6 +92,14 @@ class Flat:
         return mix(total[at]), at
 
 
+def sequence_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each run of 64-bit values; equal runs give equal hashes wherever they stand."""
+    power, inverse = _powers(len(values) + 1)
+    total = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * power[: len(values)], out=total[1:])
+    return mix((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64) * _STEP)
+
+
 def slices(column: pa.Array | pa.ChunkedArray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, Flat]]:
     """Cut a string column into (first row, last row + 1, words)."""
     if isinstance(column, pa.ChunkedArray):

@@ -81,16 +81,30 @@ def fit_rules(rows: DataFrame, features: tuple[str, ...] = FEATURES, trees: int
     return RuleEnsemble(float(lasso.intercept), tuple((float(w), r) for w, r in zip(weights, rules) if w))
 
 
+def learn_quality(counted: DataFrame, labels: DataFrame, sample_rows: int = 20_000, label: str = "quality") -> RuleEnsemble:
+    """Fit on the statistics of at most ``sample_rows`` labelled rows outside the held-out fold (see ``training_ids``)."""
+    picked = F.broadcast(training_ids(labels, label, sample_rows))  # at most sample_rows rows
+    return fit_rules(materialise(counted.join(picked, "doc_id").repartition(8), "sample"))
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, threshold: float = 0.5, label: str = "quality") -> DataFrame:
     """Score every document: doc_id, held_out, score (0 to 1), predicted, and the statistics used.
 
-    Learns from at most ``sample_rows`` labelled rows outside the held-out
-    fold (see ``training_ids``); text statistics are the only inputs.  A null
+    Learns by ``learn_quality``; text statistics are the only inputs.  A null
     or empty text has zero statistics and is scored like any other.  Repeated
     rows are scored each; other columns of ``docs`` are ignored.
     """
     counted = materialise(text_statistics(docs), "statistics")
-    picked = F.broadcast(training_ids(labels, label, sample_rows))  # at most sample_rows rows
-    model = fit_rules(materialise(counted.join(picked, "doc_id").repartition(8), "sample"))
-    scored = counted.withColumn("score", model.score())
+    scored = counted.withColumn("score", learn_quality(counted, labels, sample_rows, label).score())
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), *FEATURES)
+
+
+def good_documents(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, threshold: float = 0.5) -> DataFrame:
+    """The rows and columns of ``docs`` whose score reaches ``threshold``.
+
+    The statistics are computed beside the rows, so texts are not shuffled.
+    """
+    picked = F.broadcast(training_ids(labels, "quality", sample_rows).select("doc_id").withColumnRenamed("doc_id", "sample_id"))
+    model = learn_quality(text_statistics(docs.join(picked, docs.doc_id == F.col("sample_id"), "left_semi")), labels, sample_rows)
+    beside = text_statistics(docs, carry=True)
+    return beside.where(model.score() >= threshold).select([F.col(f"carried.{c}").alias(c) for c in docs.columns])

@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larkspur.llm.chat import repaired_chats
+from larkspur.llm.decontaminate import contaminated
 from larkspur.llm.decision_list import quality_rules
 from larkspur.llm.jaccard import jaccard_components
+from larkspur.llm.licences import KNOWN, canonical_sql, licence_matches
+from larkspur.llm.line_dedup import fuzzy_lines
 from larkspur.llm.packing import pack, token_pieces
 from larkspur.llm.quality import quality_scores
 from larkspur.llm.sharding import histogram_shards
@@ -28,6 +32,12 @@ def op1_sentence_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted", F.size("offending").alias("n_offending"), F.array_max("sentence_scores").alias("worst_sentence"))
 
 
+def op2_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
+    cut = fuzzy_lines(_table(spark, folder, "documents"))
+    return cut.select("doc_id", "n_removed", F.coalesce("any_left", F.length(F.trim("text")) > 0, F.lit(False)).alias("any_left"),
+                      F.length("text").alias("n_chars_left"), F.crc32(F.col("text").cast("binary")).alias("text_crc32"))
+
+
 def op3_histogram_shards(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     raw = F.coalesce("text", F.lit("")).cast("binary")
@@ -40,6 +50,10 @@ def op4_rule_ensemble(spark: SparkSession, folder: str) -> DataFrame:
     return quality_scores(_table(spark, folder, "documents"), _table(spark, folder, "labels")).select("doc_id", "held_out", "score", "predicted")
 
 
+def op5_edit_contamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op6_vertical_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(_table(spark, folder, "documents"))
 
@@ -66,10 +80,28 @@ def op7_decision_list(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
 
 
+def op8_licence_digests(spark: SparkSession, folder: str) -> DataFrame:
+    return licence_matches(_table(spark, folder, "documents"), spark.createDataFrame(list(KNOWN), "licence string, text string"))
+
+
+OP8_SQL = f"""
+WITH known AS (SELECT DISTINCT licence, md5({canonical_sql("t")}) AS digest FROM (VALUES {", ".join("('" + n + "', '" + t.replace("'", "''") + "')" for n, t in KNOWN)}) AS k(licence, t)),
+pieces AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL),
+units AS (SELECT doc_id, NULL::INTEGER AS line, text AS t FROM documents WHERE text IS NOT NULL
+          UNION ALL SELECT doc_id, (unnest(range(len(l))))::INTEGER AS line, unnest(l) AS t FROM pieces)
+SELECT doc_id, line, licence, digest FROM (SELECT doc_id, line, md5({canonical_sql("t")}) AS digest FROM units) JOIN known USING (digest)
+"""
+
+
+def op9_role_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repaired_chats(_table(spark, folder, "conversations"))
+
+
 def op10_bin_completion(spark: SparkSession, folder: str) -> DataFrame:
     return pack(token_pieces(_table(spark, folder, "documents"), *tokenizer_paths()))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_sentence_toxicity, op3_histogram_shards, op4_rule_ensemble, op6_vertical_jaccard, op7_decision_list, op10_bin_completion)}
-ORACLE = {"op6_vertical_jaccard": OP6_SQL}
+    op1_sentence_toxicity, op2_fuzzy_lines, op3_histogram_shards, op4_rule_ensemble, op5_edit_contamination, op6_vertical_jaccard, op7_decision_list, op8_licence_digests,
+    op9_role_repair, op10_bin_completion)}
+ORACLE = {"op6_vertical_jaccard": OP6_SQL, "op8_licence_digests": OP8_SQL}

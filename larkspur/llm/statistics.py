@@ -83,19 +83,23 @@ def _count(batches):
     for batch in batches:
         parts = [count_slice(flat) for _, _, flat in slices(batch.column("text"))]
         columns = [pa.array(np.concatenate([p[i] for p in parts]).astype(np.int64) if parts else [], pa.int64()) for i in range(len(COUNTS))]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", *COUNTS])
+        rest = [c for c in batch.schema.names if c != "text"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), *columns], [*rest, *COUNTS])
 
 
-def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
     """One row per document: doc_id, COUNTS as long and SHARES as double.
 
     Words are runs of characters other than space and the five ASCII line and
     tab characters; ``n_upper``, ``n_digits`` and ``n_punct`` count ASCII
     characters.  A null text counts as empty: all counts and shares are 0.
-    Repeated rows stay; other columns are ignored.
+    Repeated rows stay.  With ``carry`` the whole input row comes along as the
+    struct ``carried``; other columns are ignored otherwise.
     """
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    counted = slim.mapInArrow(_count, "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS))
+    row = [F.struct(*docs.columns).alias("carried")] if carry else []
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *row)
+    kind = f", carried {slim.schema['carried'].dataType.simpleString()}" if carry else ""
+    counted = slim.mapInArrow(_count, f"doc_id long{kind}, " + ", ".join(f"{c} long" for c in COUNTS))
 
     def share(part: str, whole: str):
         return F.when(F.col(whole) > 0, F.col(part) / F.col(whole)).otherwise(F.lit(0.0))

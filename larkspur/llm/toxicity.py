@@ -135,8 +135,8 @@ def fit_noisy_or(labels: np.ndarray, doc: np.ndarray, sentence: np.ndarray, feat
     return weights, float(bias)
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_rows: int, most_features: int, support: int, label: str = "toxic") -> SentenceModel:
-    """Fit on at most ``sample_rows`` labelled documents; of their features keep those that mark label 1 most strongly."""
+def train(docs: DataFrame, labels: DataFrame, sample_rows: int, most_features: int, sigmas: float, label: str = "toxic") -> SentenceModel:
+    """Fit on at most ``sample_rows`` labelled documents; of their features keep those whose share of label 1 lies ``sigmas`` above chance."""
     picked = F.broadcast(training_ids(labels, label, sample_rows))  # at most sample_rows rows
     sample = materialise(docs.join(picked, "doc_id").select("label", "text").repartition(16), "sample")
     ones, rows = sample.agg(F.coalesce(F.sum("label"), F.lit(0.0)), F.count("*")).first()
@@ -145,9 +145,10 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int, most_features: i
         odds = np.log((ones + 1) / (rows - ones + 1))
         return SentenceModel(none, np.zeros(0), float(odds))
     seen = sample.mapInArrow(_distinct_features, "label double, features array<long>").select("label", F.explode("features").alias("feature"))
-    seen = seen.groupBy("feature").agg(F.count("*").alias("n"), F.sum("label").alias("p")).where(F.col("n") >= support)
-    lift = F.col("p") / F.col("n") - ones / rows
-    seen = seen.where(lift > 0).withColumn("power", lift * F.sqrt("n")).orderBy(F.desc("power"), "feature").limit(most_features)
+    seen = seen.groupBy("feature").agg(F.count("*").alias("n"), F.sum("label").alias("p"))
+    share = ones / rows
+    power = (F.col("p") / F.col("n") - share) * F.sqrt("n") / (share * (1 - share)) ** 0.5
+    seen = seen.withColumn("power", power).where(F.col("power") >= sigmas).orderBy(F.desc("power"), "feature").limit(most_features)
     known = np.sort(np.array([r[0] for r in seen.select("feature").collect()], np.int64).view(np.uint64))
     table = sample.mapInArrow(_instances(known), "label double, sentences int, sentence array<int>, feature array<int>").toArrow()
     sizes = table.column("sentence").combine_chunks()
@@ -190,7 +191,7 @@ def _score(held, threshold: float):
     return run
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, most_features: int = 20_000, support: int = 5, threshold: float = 0.7) -> DataFrame:
+def toxicity_scores(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, most_features: int = 20_000, sigmas: float = 5.0, threshold: float = 0.7) -> DataFrame:
     """Score every whole text and name its offending sentences.
 
     Returns doc_id, held_out, score (0 to 1), predicted, ``offending`` (the
@@ -202,6 +203,6 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_00
     ignored.  Without labels of both kinds the bias alone scores.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    model = docs.sparkSession.sparkContext.broadcast(train(texts, labels, sample_rows, most_features, support))
+    model = docs.sparkSession.sparkContext.broadcast(train(texts, labels, sample_rows, most_features, sigmas))
     scored = texts.mapInArrow(_score(model, threshold), "doc_id long, score double, offending array<string>, sentence_scores array<double>")
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "offending", "sentence_scores")
