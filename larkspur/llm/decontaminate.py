@@ -67,7 +67,7 @@ def winnow(flat: Flat, hashes: np.ndarray, width: int) -> np.ndarray:
     n = len(hashes)
     least = hashes.copy()
     doc = flat.doc
-    for j in range(1, width):
+    for j in range(1, min(width, n)):
         same = np.flatnonzero(doc[j:] == doc[: n - j])
         least[same] = np.minimum(least[same], hashes[same + j])
     # Runs that begin too late to be whole count only if the text has no whole run.
@@ -75,7 +75,7 @@ def winnow(flat: Flat, hashes: np.ndarray, width: int) -> np.ndarray:
     place = np.arange(n) - flat.bounds[doc]
     whole = (place + width <= counts[doc]) | ((counts[doc] < width) & (place == 0))
     chosen = np.zeros(n, bool)
-    for j in range(width):
+    for j in range(min(width, n)):
         start = np.flatnonzero(whole[: n - j])
         start = start[doc[start] == doc[start + j]]
         chosen[start + j] |= least[start] == hashes[start + j]
