@@ -166,21 +166,26 @@ def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: int
     counts = {s: n for s, n in counts.items() if n}
     best = best_fit(counts, capacity)
     fewest, bound = sum(t for t, _ in best), lower_bound(counts, capacity)
-    stack: list[tuple[dict[int, int], int, list]] = [(counts, 0, [])] if counts and fewest > bound else []
+    # An entry is a filling still to be taken from its parent's counts; the plan is a chain of (plan before, step).
+    stack: list[tuple] = [(counts, None, 0, 0, None)] if counts and fewest > bound else []
     while stack and nodes and fewest > bound:
         nodes -= 1
-        left, used, plan = stack.pop()
+        before, filling, times, used, chain = stack.pop()
+        left = dict(before)
+        if filling:
+            _take(left, filling, times)
         if not left:
             if used < fewest:
-                fewest, best = used, plan
+                fewest, best = used, []
+                while chain:
+                    chain, step = chain
+                    best.append(step)
             continue
         if used + -(-sum(s * n for s, n in left.items()) // capacity) >= fewest:
             continue
         for filling in reversed(fillings(left, capacity, fan)):
             times = min(left[s] // filling.count(s) for s in set(filling))
-            after = dict(left)
-            _take(after, filling, times)
-            stack.append((after, used + times, [*plan, (times, filling)]))
+            stack.append((left, filling, times, used + times, (chain, (times, filling))))
     return best
 
 
