@@ -47,7 +47,7 @@ def with_ranges(df: DataFrame, order: str, tie: str, ranges: int = RANGES) -> Da
     bounded = df.withColumn("_q", _bounds(df, [order, tie], ranges))
     x = F.col(order).cast("double")
     below = F.size(F.filter(F.col("_q")["b0"], lambda b: b < x))
-    own = F.array_contains(F.col("_q")["b0"], x)
+    own = F.coalesce(F.array_contains(F.col("_q")["b0"], x), F.lit(False))  # nulls sort first, in range 0
     tie_range = F.size(F.filter(F.col("_q")["b1"], lambda b: b < F.col(tie).cast("double")))
     return (
         bounded.withColumn("r1", 2 * below + own.cast("int"))
@@ -56,6 +56,15 @@ def with_ranges(df: DataFrame, order: str, tie: str, ranges: int = RANGES) -> Da
     )
 
 
+def rejoin(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on ``keys`` in which a null equals a null, so rows with null keys keep their statistics."""
+    other = stats.select(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)], *[c for c in stats.columns if c not in keys])
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_key_{i}"))
+    return df.join(other, same).drop(*[f"_key_{i}" for i in range(len(keys))])
+
+
 def position(df: DataFrame, order: str, tie: str, keys: Sequence[str] = (), name: str = "idx") -> DataFrame:
     """1-based position by (order, tie), over all rows or within ``keys``."""
     ranged = with_ranges(df, order, tie)
@@ -65,7 +74,7 @@ def position(df: DataFrame, order: str, tie: str, keys: Sequence[str] = (), name
     offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
     local = ranged.withColumn("_rn", F.row_number().over(Window.partitionBy(*slot).orderBy(order, tie)))
     return (
-        local.join(offsets, slot)
+        rejoin(local, offsets, slot)
         .withColumn(name, (F.col("_before") + F.col("_rn")).cast("long"))
         .drop("_before", "_rn", "r1", "r2")
     )
@@ -82,7 +91,7 @@ def running_total(df: DataFrame, keys: Sequence[str], order: str, value: str, na
     offsets = sums.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
     local = Window.partitionBy(*slot).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        ranged.withColumn("_run", F.sum(value).over(local)).join(offsets, slot)
+        rejoin(ranged.withColumn("_run", F.sum(value).over(local)), offsets, slot)
         .withColumn(name, F.col("_before") + F.col("_run")).drop("_before", "_run", "r1")
     )
 
@@ -93,7 +102,7 @@ def cume_dist(df: DataFrame, keys: Sequence[str], value: str, name: str = "cume"
     running = running_total(counted, keys, value, "_c", "_upto")
     totals = counted.groupBy(*keys).agg(F.sum("_c").alias("_all"))
     return (
-        running.join(totals, list(keys)) if keys else running.withColumn("_all", counted.select(F.sum("_c")).scalar())
+        rejoin(running, totals, list(keys)) if keys else running.withColumn("_all", counted.select(F.sum("_c")).scalar())
     ).withColumn(name, F.col("_upto") / F.col("_all")).drop("_c", "_upto", "_all")
 
 
@@ -118,7 +127,7 @@ def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_c
     edges = ends.select(*piece, F.lag("_last").over(across).alias("_lp"), F.lead("_first").over(across).alias("_fn"))
     before, after = F.coalesce("_p", "_lp"), F.coalesce("_n", "_fn")
     return (
-        local.join(edges, piece)
+        rejoin(local, edges, piece)
         .withColumn(prev, F.when(before.isNull(), F.lit(default)).otherwise(before[value]))
         .withColumn(nxt, F.when(after.isNull(), F.lit(default)).otherwise(after[value]))
         .drop("_p", "_n", "_lp", "_fn")
@@ -135,7 +144,7 @@ def dense_ids(df: DataFrame, column: str, name: str) -> DataFrame:
 def normalise(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
     """(value - group mean) / group sd, with the statistics as a combined aggregate."""
     stats = df.groupBy(*keys).agg(F.avg(value).alias("_m"), F.stddev_samp(value).alias("_s"))
-    return df.join(stats, list(keys)).withColumn(name, (F.col(value) - F.col("_m")) / F.col("_s")).drop("_m", "_s")
+    return rejoin(df, stats, keys).withColumn(name, (F.col(value) - F.col("_m")) / F.col("_s")).drop("_m", "_s")
 
 
 def head_balance(rated: DataFrame, user: str, item: str, label: str, score: str) -> DataFrame:

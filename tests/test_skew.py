@@ -126,3 +126,20 @@ def test_category_fill_is_exact(spark):
     assert len(mine) == 70 and sum(r["cate_id"] == 10 for r in mine) == 60
     assert sorted(r["position"] for r in mine) == list(range(1, 71))
     assert len([r for r in rows if r["user_id"] == 2]) == 30
+
+
+def test_null_keys_and_null_order_values_keep_their_rows(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from larkspur.operators import windows
+
+    rows = [(None if i % 5 == 0 else i % 3, None if i % 4 == 0 else i * 7 % 11, i) for i in range(40)]
+    df = spark.createDataFrame(rows, "k long, x long, id long")
+    w = Window.partitionBy("k").orderBy("x", "id")
+    want = {r.id: r.p for r in df.withColumn("p", F.row_number().over(w)).collect()}
+    assert {r.id: r.p for r in windows.position(df, "x", "id", keys=["k"], name="p").collect()} == want
+    assert windows.position(df, "x", "id", name="p").count() == 40
+    assert windows.normalise(df, ["k"], "id", "z").count() == 40
+    assert windows.neighbours(df, ["k"], ["id"], "x", "id", -1).count() == 40
+    assert windows.cume_dist(df, ["k"], "x").count() == df.select("k", "x").distinct().count()
