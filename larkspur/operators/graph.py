@@ -55,6 +55,7 @@ def personal_rank_exact(edges: DataFrame, roots: DataFrame, alpha: float = 0.8,
 
     Rounds go on until the largest change of one round is below ``tolerance``;
     only that one number comes back to the driver, every ``step`` rounds.
+    Raises if ``most`` rounds do not reach it.
     """
     sliced, nodes = (cut_lineage(df) for df in prepare(edges))
     roots = cut_lineage(roots.select("root"))
@@ -70,6 +71,8 @@ def personal_rank_exact(edges: DataFrame, roots: DataFrame, alpha: float = 0.8,
         ranks, done = moved, done + step
         if change < tolerance:
             break
+    else:
+        raise RuntimeError(f"ranks still moved by {change} after {done} rounds; allow more or lower alpha")
     return ranks.withColumn("score", F.col("score") / (1 - alpha))
 
 

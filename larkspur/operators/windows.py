@@ -30,9 +30,9 @@ def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Seq
 
 
 def _bounds(df: DataFrame, columns: Sequence[str], ranges: int) -> Column:
-    """Approximate quantiles of numeric columns, one array each, from a single pass."""
+    """Approximate quantiles of numeric columns in their own types, one array each, from a single pass."""
     probs = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
-    cut = [F.array_distinct(F.percentile_approx(F.col(c).cast("double"), probs, F.lit(2000))).alias(f"b{i}")
+    cut = [F.array_distinct(F.percentile_approx(F.col(c), probs, F.lit(2000))).alias(f"b{i}")
            for i, c in enumerate(columns)]
     return df.agg(*cut).select(F.struct(*[f"b{i}" for i in range(len(columns))])).scalar()
 
@@ -45,10 +45,10 @@ def with_ranges(df: DataFrame, order: str, tie: str, ranges: int = RANGES) -> Da
     large range.
     """
     bounded = df.withColumn("_q", _bounds(df, [order, tie], ranges))
-    x = F.col(order).cast("double")
+    x = F.col(order)
     below = F.size(F.filter(F.col("_q")["b0"], lambda b: b < x))
     own = F.coalesce(F.array_contains(F.col("_q")["b0"], x), F.lit(False))  # nulls sort first, in range 0
-    tie_range = F.size(F.filter(F.col("_q")["b1"], lambda b: b < F.col(tie).cast("double")))
+    tie_range = F.size(F.filter(F.col("_q")["b1"], lambda b: b < F.col(tie)))
     return (
         bounded.withColumn("r1", 2 * below + own.cast("int"))
         .withColumn("r2", F.when(own, tie_range).otherwise(F.lit(0)))
@@ -83,7 +83,7 @@ def position(df: DataFrame, order: str, tie: str, keys: Sequence[str] = (), name
 def running_total(df: DataFrame, keys: Sequence[str], order: str, value: str, name: str) -> DataFrame:
     """Running sum of ``value`` by ``order``; (keys, order) must be unique."""
     ranged = df.withColumn("_q", _bounds(df, [order], RANGES))
-    x = F.col(order).cast("double")
+    x = F.col(order)
     ranged = ranged.withColumn("r1", F.size(F.filter(F.col("_q")["b0"], lambda b: b < x))).drop("_q")
     slot = [*keys, "r1"]
     sums = ranged.groupBy(*slot).agg(F.sum(value).alias("_n"))

@@ -228,7 +228,7 @@ def named_slots(df, vector, vocabulary):
 @query(f"SELECT p_partkey, w AS word, CAST(count(*) AS DOUBLE) AS v FROM {PART_WORDS} GROUP BY 1, 2")
 def fe_count_vectorizer(t):
     words = part_words(t)
-    model = CountVectorizer(vocabSize=1000, minDF=1.0, inputCol="w", outputCol="counts").fit(words)
+    model = CountVectorizer(minDF=1.0, inputCol="w", outputCol="counts").fit(words)
     return named_slots(model.transform(words), "counts", model.vocabulary)
 
 
@@ -242,7 +242,7 @@ def fe_hashing_tf(t):
   JOIN (SELECT w, count(DISTINCT p_partkey) AS df FROM {PART_WORDS} GROUP BY 1) b USING (w) GROUP BY 1, 2""")
 def fe_idf(t):
     words = part_words(t)
-    counter = CountVectorizer(vocabSize=1000, inputCol="w", outputCol="counts").fit(words)
+    counter = CountVectorizer(inputCol="w", outputCol="counts").fit(words)
     counted = counter.transform(words)
     weighted = IDF(inputCol="counts", outputCol="weights").fit(counted).transform(counted)
     return named_slots(weighted, "weights", counter.vocabulary).withColumn("v", F.round("v", 6))
@@ -476,7 +476,7 @@ def ml_gmm(t):
 @query()
 def ml_lda(t):
     words = t.documents.select("doc_id", tx.topic_words(F.col("text")).alias("w"))
-    counted = CountVectorizer(vocabSize=500, minDF=5.0, inputCol="w", outputCol="features").fit(words).transform(words)
+    counted = CountVectorizer(inputCol="w", outputCol="features").fit(words).transform(words)
     model = LDA(k=4, maxIter=3, seed=1).fit(counted)
     return model.transform(counted).select("doc_id", F.round(vx.total(vector_to_array("topicDistribution")), 6).alias("total"))
 

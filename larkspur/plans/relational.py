@@ -419,8 +419,8 @@ def agg_pivot(t):
 
 @query("SELECT l_returnflag AS a, l_linestatus AS b, count(*) AS n FROM lineitem GROUP BY 1, 2")
 def agg_crosstab(t):
-    table = t.lineitem.crosstab("l_returnflag", "l_linestatus").withColumnRenamed("l_returnflag_l_linestatus", "a")
-    return table.unpivot("a", [c for c in table.columns if c != "a"], "b", "n")
+    # The long form of crosstab(), which builds its wide table on the driver.
+    return t.lineitem.groupBy(F.col("l_returnflag").alias("a"), F.col("l_linestatus").alias("b")).agg(F.count("*").alias("n"))
 
 
 @query()
@@ -672,7 +672,8 @@ def par_cache(t):
     try:
         level = str(lines.storageLevel)
         totals = lines.agg(F.count("*").alias("n"), F.round(F.sum("l_extendedprice"), 1).alias("total"))
-        return totals.withColumn("level", F.lit(level))
+        # Written while the cached rows are held; a lazy result would scan the files again.
+        return materialise(totals.withColumn("level", F.lit(level)), "cached-totals")
     finally:
         lines.unpersist()
 

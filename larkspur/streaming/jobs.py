@@ -77,20 +77,22 @@ def batch_folder(path: str) -> Callable[[DataFrame, int], None]:
 
 def to_table(stream: DataFrame, name: str, mode: str = "append", prepare: Callable[[DataFrame], DataFrame] | None = None,
              checkpoint: str | None = None, path: str | None = None) -> DataFrame:
-    """Run a stream into batch folders and read them back with their ``batch_id``."""
+    """Run a stream into batch folders and read them back with their ``batch_id``.
+
+    The schema is that of an empty batch after ``prepare``, so a restart that
+    finds nothing new reads the table like any other run.
+    """
     spark = stream.sparkSession
     path = path or work_path(spark, name)
-    shape: list[T.StructType] = []
     write = batch_folder(path)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        ready = prepare(batch) if prepare else batch
-        shape[:] = [ready.schema]
-        write(ready, batch_id)
+        write(prepare(batch) if prepare else batch, batch_id)
 
     run_to_end(stream, name, mode, each, checkpoint=checkpoint)
-    schema = T.StructType((shape[0] if shape else stream.schema).fields + [T.StructField("batch_id", T.LongType())])
-    return spark.read.schema(schema).parquet(path)
+    empty = spark.createDataFrame([], stream.schema)
+    shape = (prepare(empty) if prepare else empty).schema
+    return spark.read.schema(T.StructType([*shape.fields, T.StructField("batch_id", T.LongType())])).parquet(path)
 
 
 # jobs ---------------------------------------------------------------------
@@ -177,7 +179,9 @@ def last_actions(log: DataFrame, n: int, salts: int = 4, delay: str = "1 day", i
     """Last ``n`` events per user, kept as state and dropped after an idle time.
 
     A user's rows spread over ``salts`` states; the last ``n`` of their union
-    are the last ``n`` of the user.
+    are the last ``n`` of the user.  The lists of all batches are read
+    together, so events from before an idle time still count.  A repeated
+    event counts once.
     """
 
     def keep(key, batches, state):
@@ -190,7 +194,7 @@ def last_actions(log: DataFrame, n: int, salts: int = 4, delay: str = "1 day", i
         held = list(zip(stored[0], stored[1]))
         for pdf in batches:
             held += list(zip(pdf["micros"].tolist(), pdf["event_id"].tolist()))
-            held = sorted(held)[-n:]
+            held = sorted(set(held))[-n:]
         state.update(([h[0] for h in held], [h[1] for h in held]))
         newest = held[-1][0] // 1000
         state.setTimeoutTimestamp(max(newest, state.getCurrentWatermarkMs()) + idle_ms)
@@ -203,7 +207,6 @@ def last_actions(log: DataFrame, n: int, salts: int = 4, delay: str = "1 day", i
         keep, "user_id long, salt long, micros array<long>, ids array<long>", "micros array<long>, ids array<long>",
         "update", GroupStateTimeout.EventTimeTimeout)
     table = to_table(states, "last-actions", "update", **where)
-    newest = windows.latest(table, ["user_id", "salt"], ["batch_id"], ["micros", "ids"])
-    rows = newest.select("user_id", F.explode(F.arrays_zip("micros", "ids")).alias("x")).select(
-        "user_id", "x.micros", F.col("x.ids").alias("event_id"))
+    rows = table.select("user_id", F.explode(F.arrays_zip("micros", "ids")).alias("x")).select(
+        "user_id", "x.micros", F.col("x.ids").alias("event_id")).distinct()
     return windows.top_k(rows, ["user_id"], [F.desc("micros"), F.desc("event_id")], n, rank="back")
