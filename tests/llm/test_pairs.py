@@ -13,7 +13,7 @@ from larkspur.llm.components import components
 from larkspur.llm.decontaminate import contaminated, least_distance
 from larkspur.llm.jaccard import jaccard_components
 from larkspur.llm.licences import KNOWN, licence_matches
-from larkspur.llm.line_dedup import fuzzy_lines
+from larkspur.llm.line_dedup import fuzzy_lines, within_edits
 
 
 class Forest:
@@ -113,6 +113,18 @@ def tidy(line):
     return " ".join(w for w in out if w)
 
 
+def test_edit_bound_is_exact():
+    draw = random.Random(3)
+    for _ in range(1500):
+        s = "".join(draw.choices("abé漢", k=draw.randrange(30)))
+        t = list(s) if draw.random() < 0.5 else draw.choices("abé漢", k=draw.randrange(30))
+        for _ in range(draw.randrange(4)):
+            t.insert(draw.randrange(len(t) + 1), draw.choice("abc"))
+        t = "".join(t)
+        d = levenshtein(s, t)
+        assert [within_edits(s, t, m) for m in (d - 1, d, d + 1)] == [False, True, True]
+
+
 def test_lines_against_brute_force(spark, words):
     """Every equal normalised line goes but once; what else goes is near to a line that stays; most near lines go."""
     rng = random.Random(2)
