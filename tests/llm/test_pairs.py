@@ -229,3 +229,29 @@ def test_licences(spark, odd, none):
     rows = licence_matches(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), known).collect()
     assert sorted((r.doc_id, r.line, r.licence) for r in rows if r.line is None or r.doc_id == 2) == [(0, None, "MIT"), (1, None, "MIT"), (2, 1, "MIT")]
     assert licence_matches(odd, known).count() == 0 and licence_matches(none, known).count() == 0
+
+
+def test_near_lines_are_found(spark, words):
+    """Lines of 4 to 60 words with edits up to a similarity of 0.8: at least 0.9 of the pairs become one line."""
+    rng = random.Random(12)
+    docs, pairs = [], 0
+    while pairs < 240:
+        line = tidy(" ".join(rng.choice(words) for _ in range(rng.randint(4, 60))))
+        other = tidy(edited(rng, line, words, rng.randint(1, max(1, line.count(" ") // 6))))
+        if other != line and levenshtein(line, other) <= 0.2 * max(len(line), len(other)):
+            docs += [(2 * pairs, line), (2 * pairs + 1, other)]
+            pairs += 1
+    got = fuzzy_lines(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert got.where("n_removed = 1").count() >= 0.9 * pairs
+
+
+def test_crowded_buckets_keep_near_lines(spark, words):
+    """Lines that share a passage but are not near fill a bucket; the near pairs among them are still found."""
+    rng = random.Random(13)
+    passage, docs = " ".join(rng.choice(words) for _ in range(12)), []
+    for i in range(120):
+        docs.append((2 * i, passage + " " + " ".join(rng.choice(words) for _ in range(30))))
+        docs.append((2 * i + 1, edited(rng, docs[-1][1], words, 2)))
+    near = sum(levenshtein(tidy(docs[2 * i][1]), tidy(docs[2 * i + 1][1])) <= 0.2 * max(len(tidy(t)) for _, t in docs[2 * i : 2 * i + 2]) for i in range(120))
+    got = fuzzy_lines(spark.createDataFrame(docs, "doc_id long, text string"), crowded=8)
+    assert near > 100 and got.where("n_removed = 1").count() >= 0.9 * near
