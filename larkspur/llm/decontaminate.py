@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from larkspur.llm.flat import Flat, mix, slices
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+#: Bytes of items that are also sought piece by piece: a walk is hardly longer, and its few windows miss edited ones.
+SHORT = 126
 
 
 @dataclass(frozen=True)
@@ -135,28 +137,120 @@ class Index:
         return pairs[:, 0], pairs[:, 1]
 
 
+class ShortIndex:
+    """Items of up to ``SHORT`` bytes, sought without loss.
+
+    Of the halves of an item (of the item itself, up to 63 bytes) one has
+    at most its share of the edits; cut into one piece more than these
+    edits, it keeps a piece unchanged.  Pieces are looked up at every byte
+    by up to eight bytes, and the half is compared there by bit vectors.
+    """
+
+    def __init__(self, items: list[tuple[int, bytes]], share: float):
+        parts, pieces = [], []
+        for number, (_, text) in enumerate(items):
+            if len(text) > SHORT:
+                continue
+            most, halves = int(np.floor(len(text) * share)), ceil(len(text) / 63)
+            for h in range(halves):
+                low, high = len(text) * h // halves, len(text) * (h + 1) // halves
+                edits = min(most // halves, high - low - 1)
+                for i in range(edits + 1):
+                    a, b = ((high - low) * j // (edits + 1) for j in (i, i + 1))
+                    piece = text[low + a : low + min(b, a + 8)]
+                    pieces.append((len(piece), int.from_bytes(piece, "little"), len(parts), a))
+                parts.append((number, low, high - low, edits, text[low:high]))
+        self.item, self.low, self.length, self.edits = (np.array([p[c] for p in parts], np.int64) for c in range(4))
+        self.places = np.zeros((len(parts), 256), np.uint64)
+        for row, part in enumerate(parts):
+            for i, c in enumerate(part[4]):
+                self.places[row, c] |= np.uint64(1 << i)
+        self.pieces = []
+        for length in sorted({p[0] for p in pieces}):
+            own = sorted(p[1:] for p in pieces if p[0] == length)
+            values = np.array([p[0] for p in own], np.uint64)
+            maybe = np.zeros(1 << 20, bool)
+            maybe[self._slot(values)] = True
+            self.pieces.append((length, values, np.array([p[1] for p in own], np.int64), np.array([p[2] for p in own], np.int64), maybe))
+
+    @staticmethod
+    def _slot(values: np.ndarray) -> np.ndarray:
+        return (values * _STEP) >> np.uint64(44)
+
+    def matches(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(document, item, place where the item would begin) of halves within their edits."""
+        found = [np.zeros((0, 3), np.int64)]
+        if self.pieces and len(data):
+            padded = np.concatenate([data, np.zeros(8, np.uint8)])
+            eight = np.zeros(len(data), np.uint64)
+            for j in range(8):
+                eight |= padded[j : j + len(data)].astype(np.uint64) << np.uint64(8 * j)
+        for length, values, part, offset, maybe in self.pieces:
+            own = eight & np.uint64((1 << 8 * length) - 1)
+            at = np.flatnonzero(maybe[self._slot(own)])
+            low, high = (np.searchsorted(values, own[at], side) for side in ("left", "right"))
+            for cut in range(0, len(at), 50_000):
+                count = (high - low)[cut : cut + 50_000]
+                place = np.repeat(at[cut : cut + 50_000], count)
+                if not len(place):
+                    continue
+                one = np.repeat(low[cut : cut + 50_000] - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(len(place))
+                row, begin = part[one], place - offset[one]
+                doc = np.searchsorted(offsets, place, "right") - 1
+                near = self._near(data, offsets[doc], offsets[doc + 1], begin, row)
+                found.append(np.unique(np.stack([doc, self.item[row], begin - self.low[row]], 1)[near], axis=0))
+        return tuple(np.concatenate(found).T)
+
+    def _near(self, data: np.ndarray, first: np.ndarray, stop: np.ndarray, begin: np.ndarray, row: np.ndarray) -> np.ndarray:
+        """Whether the half lies around ``begin`` within its edits: the steps of ``least_distance`` for many places at once."""
+        length, edits = self.length[row], self.edits[row]
+        near = np.zeros(len(row), bool)
+        for size in np.unique(length):
+            own = np.flatnonzero(length == size)
+            full, top, one = np.uint64((1 << int(size)) - 1), np.uint64(size - 1), np.uint64(1)
+            plus, minus = np.full(len(own), full), np.zeros(len(own), np.uint64)
+            score = np.full(len(own), size)
+            best = score.copy()
+            reach = int(edits[own].max())
+            for step in range(-reach, int(size) + reach):
+                at = begin[own] + step
+                inside = (at >= first[own]) & (at < stop[own])
+                eq = np.where(inside, self.places[row[own], data[np.clip(at, 0, len(data) - 1)]], np.uint64(0))
+                vertical = eq | minus
+                eq = eq | (((eq & plus) + plus) ^ plus)
+                up, down = minus | (full & ~(eq | plus)), plus & eq
+                score += ((up >> top) & one).astype(np.int64) - ((down >> top) & one).astype(np.int64)
+                up, down = (up << one) & full, (down << one) & full
+                plus = down | (full & ~(vertical | up))
+                minus = up & vertical
+                best = np.minimum(best, score)
+            near[own] = best <= edits[own]
+        return near
+
+
 def _candidates(held, share: float, width: int, most_apart: float):
     """Arrow task: (document, item, stretch of normalised text) to verify."""
 
     def run(batches):
-        index = held.value
+        index, short = held.value
         lengths = np.array([len(t) for _, t in index.items], np.int64)
         for batch in batches:
             rows, items, texts = [], [], []
             for low, _, flat in slices(normalise(batch.column("text"))):
-                if not len(flat.start) or not len(index.item):
+                if not len(flat.start) or not index.items:
                     continue
                 at = flat.start[winnow(flat, flat.word_hashes(), width)]
                 doc = np.searchsorted(flat.offsets, at, "right") - 1
                 window, word = index.matches(flat.data, flat.offsets[doc + 1], at, most_apart)
                 item = index.item[word]
+                owner, begin = doc[window], at[window] - index.offset[word]
+                owner, item, begin = (np.concatenate(both) for both in zip((owner, item, begin), short.matches(flat.data, flat.offsets)))
                 slack = np.floor(lengths[item] * share).astype(np.int64)
-                begin = at[window] - index.offset[word]
                 # Windows of one item that begin close together are one stretch.
-                order = np.lexsort((begin, item, doc[window]))
+                order = np.lexsort((begin, item, owner))
                 last: tuple | None = None
                 for k in order:
-                    own = (int(doc[window[k]]), int(item[k]))
+                    own = (int(owner[k]), int(item[k]))
                     if last and last[0] == own and begin[k] - last[1] <= slack[k]:
                         continue
                     last = (own, begin[k])
@@ -219,6 +313,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = 0.1, reca
       few edits change few places; ``symbols`` sampled places make a table's
       key.  The number of tables follows from ``recall`` for one window
       whose places agree with probability ``agreement``; a passage has several windows.
+    * Items of up to ``SHORT`` bytes are also sought by unchanged pieces
+      (``ShortIndex``), which loses none.
     * Agreeing windows are placed against the item, and the exact least edit
       distance of the whole item to the stretch decides.
 
@@ -238,7 +334,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = 0.1, reca
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
         rows = part.orderBy("item_id", "text").toArrow()
         listed = [(i, t) for i, t in zip(rows.column("item_id").to_pylist(), normalise(rows.column("text").combine_chunks()).to_pylist()) if t]
-        held = spark.sparkContext.broadcast(Index(plan, listed))
+        held = spark.sparkContext.broadcast((Index(plan, listed), ShortIndex(listed, share)))
         known = spark.createDataFrame(listed, "item_id long, item binary")
         near = texts.mapInArrow(_candidates(held, share, width, most_apart), "doc_id long, item_id long, stretch binary").distinct()
         near = near.join(F.broadcast(known), "item_id").select("doc_id", "item_id", "item", "stretch")

@@ -3,14 +3,16 @@
 import random
 import re
 from collections import Counter
+from types import SimpleNamespace
 
 import oracle
+import pyarrow as pa
 import pytest
 from conftest import FOLDER
 
 from larkspur.llm import queries
 from larkspur.llm.components import components
-from larkspur.llm.decontaminate import contaminated, least_distance
+from larkspur.llm.decontaminate import Index, Plan, ShortIndex, _candidates, contaminated, least_distance
 from larkspur.llm.jaccard import jaccard_components
 from larkspur.llm.licences import KNOWN, licence_matches
 from larkspur.llm.line_dedup import fuzzy_lines, within_edits
@@ -255,3 +257,27 @@ def test_crowded_buckets_keep_near_lines(spark, words):
     near = sum(levenshtein(tidy(docs[2 * i][1]), tidy(docs[2 * i + 1][1])) <= 0.2 * max(len(tidy(t)) for _, t in docs[2 * i : 2 * i + 2]) for i in range(120))
     got = fuzzy_lines(spark.createDataFrame(docs, "doc_id long, text string"), crowded=8)
     assert near > 100 and got.where("n_removed = 1").count() >= 0.9 * near
+
+
+def test_short_items_are_all_found(words):
+    """Items of 1 to 12 words, exact and with edits of 8 to 10 % of the bytes, inside longer texts."""
+    rng, words = random.Random(14), [w for w in words if w.isascii()]
+    for share in (0, 0.1):
+        items = [(n, " ".join(rng.choice(words) for _ in range(n)).lower().encode()[:126]) for n in range(1, 13) for _ in range(15)]
+        texts = []
+        for _, item in items:
+            passage = bytearray(item)
+            for _ in range(int(len(item) * share)):
+                at = rng.randrange(len(passage))
+                passage[at : at + 1] = rng.choice([b"", b"x", passage[at : at + 1] + b"q"])
+            lead = lambda: " ".join(rng.choice(words) for _ in range(30)).lower().encode()
+            texts.append(lead() + b" " + bytes(passage) + b" " + lead())
+        batch = pa.RecordBatch.from_arrays([pa.array(range(len(items))), pa.array([t.decode() for t in texts])], ["doc_id", "text"])
+        listed = [(i, t) for i, (_, t) in enumerate(items)]
+        held = SimpleNamespace(value=(Index(Plan.make(0.95, 0.7, 6, 2, 128, 17), listed), ShortIndex(listed, 0.1)))
+        got = set()
+        for out in _candidates(held, 0.1, 8, 0.5)([batch]):
+            got |= {(d, i) for d, i, t in zip(*(c.to_pylist() for c in out.columns)) if least_distance(listed[i][1], t) <= int(len(listed[i][1]) * 0.1)}
+        want = {(i, i) for i, t in listed if least_distance(t, texts[i]) <= int(len(t) * 0.1)}
+        assert len(want) >= 0.9 * len(listed) and want <= got
+        assert {(d, i) for d in range(0, len(texts), 7) for i, t in listed if least_distance(t, texts[d]) <= int(len(t) * 0.1)} <= got
