@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +36,34 @@ KNOWN = (
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
 
+_CONDITIONS = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+"""
+_ENDORSEMENT = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\n"
+_DISCLAIMER = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+#: Titles that stand before the bodies of short licences.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT"), "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD", "0BSD"), "BSD-2-Clause": ("BSD 2-Clause License", 'BSD 2-Clause "Simplified" License', "The BSD 2-Clause License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License', "The BSD 3-Clause License"), "Unlicense": ("The Unlicense", "Unlicense"),
+}
+
+
+def _whole() -> tuple[tuple[str, str], ...]:
+    """Whole licences: the files of ``known_licences``, also up to their terms' end, BSD texts, and short bodies below a title."""
+    found = [("BSD-2-Clause", _CONDITIONS + _DISCLAIMER), ("BSD-3-Clause", _CONDITIONS + _ENDORSEMENT + _DISCLAIMER)]
+    # Lists of conditions are also set with bullets, which the canonical form drops.
+    found += [(n, "\n".join(line[3:] if line[:3] in ("1. ", "2. ", "3. ") else line for line in t.split("\n"))) for n, t in found]
+    for file in sorted((Path(__file__).parent / "known_licences").glob("*.txt")):
+        text, end = file.read_text(encoding="utf-8"), "END OF TERMS AND CONDITIONS"
+        found += [(file.stem, text)] + [(file.stem, text[: text.index(end)] + tail) for tail in ("", end) if end in text]
+    bodies = [(n, t) for n, t in (*KNOWN, *found) if n in TITLES and len(t) > 300]
+    return (*found, *((n, title + "\n\n" + t) for n, t in bodies for title in TITLES[n]))
+
+
+KNOWN += _whole()
+
 
 def canonical(text):
     """Lower case, one spelling, no copyright lines, runs of ASCII punctuation and white space as one space."""

@@ -281,3 +281,13 @@ def test_short_items_are_all_found(words):
         want = {(i, i) for i, t in listed if least_distance(t, texts[i]) <= int(len(t) * 0.1)}
         assert len(want) >= 0.9 * len(listed) and want <= got
         assert {(d, i) for d in range(0, len(texts), 7) for i, t in listed if least_distance(t, texts[d]) <= int(len(t) * 0.1)} <= got
+
+
+def test_whole_licence_files(spark):
+    """Files as they are published: with a title, wrapped, and long ones."""
+    by = {n: t for n, t in reversed(KNOWN) if len(t) > 500}
+    files = [("MIT", "MIT License\n\nCopyright (c) 2020 A. Person\n\n" + next(t for n, t in KNOWN if n == "MIT" and len(t) > 500).replace(" ", "\n", 9)), ("GPL-3.0", by["GPL-3.0"]), ("Apache-2.0", "\n" + by["Apache-2.0"].replace("\n", " \n")),
+             ("BSD-2-Clause", by["BSD-2-Clause"].replace("1. ", "* ").replace("2. ", "* ")), ("Unlicense", by["Unlicense"])]
+    known = spark.createDataFrame(list(KNOWN), "licence string, text string")
+    rows = licence_matches(spark.createDataFrame([(i, t) for i, (_, t) in enumerate(files)], "doc_id long, text string"), known).where("line is null").collect()
+    assert sorted((r.doc_id, r.licence) for r in rows) == [(i, n) for i, (n, _) in enumerate(files)]
