@@ -204,19 +204,18 @@ def item_vectors(t) -> DataFrame:
 
 
 def item_similar(t) -> DataFrame:
-    """Ten similar items per item: the nearest of twelve fixed partners."""
-    from larkspur.functions import vectors as vx
-    from larkspur.operators import windows
+    """The ten nearest items of the same channel, for every item (all vectors have length 1, so none is farther than 2)."""
+    from larkspur.operators import similarity
 
+    near = similarity.nearest(item_vectors(t), lambda reps: similarity.pairs_within(reps, 2.5), k=10)
+    return near.select("item_id", "similar_id", "distance")
+
+
+def user_factors(t) -> DataFrame:
+    """A vector per user of the log, as a factor model would leave it."""
     n = t.embeddings.select(F.count("*")).scalar()
-    items = item_vectors(t)
-    partner = F.pmod(F.col("item_id") + F.col("j") * 37, n)
-    pairs = (
-        items.withColumn("j", F.explode(F.sequence(F.lit(1), F.lit(12)))).withColumn("similar_id", partner)
-        .join(items.select(F.col("item_id").alias("similar_id"), F.col("vec").alias("other")), "similar_id")
-        .select("item_id", "similar_id", F.round(vx.euclidean(F.col("vec"), F.col("other")), 6).alias("distance"))
-    )
-    return windows.top_k(pairs, ["item_id"], [F.asc("distance"), F.asc("similar_id")], 10).drop("rank")
+    users = t.events.select("user_id").distinct().withColumn("vec_id", F.pmod("user_id", n))
+    return users.join(t.embeddings.select("vec_id", F.col("embedding").cast("array<double>").alias("vec")), "vec_id").drop("vec_id")
 
 
 VIEW_SQL: dict[str, str] = {
@@ -311,9 +310,11 @@ VIEW_SQL: dict[str, str] = {
     "f_similar": """
         SELECT item_id, similar_id, distance FROM (SELECT *, row_number() OVER (PARTITION BY item_id
             ORDER BY distance, similar_id) AS rn FROM (
-          SELECT a.item_id, b.item_id AS similar_id, round(list_distance(a.vec, b.vec), 6) AS distance
-          FROM f_item_vectors a, range(1, 13) AS g(j), f_item_vectors b
-          WHERE b.item_id = (a.item_id + j * 37) % (SELECT count(*) FROM embeddings))) WHERE rn <= 10""",
+          SELECT a.item_id, b.item_id AS similar_id, round(list_distance(a.vec, b.vec), 9) AS distance
+          FROM f_item_vectors a JOIN f_item_vectors b ON a.channel_id = b.channel_id AND a.item_id <> b.item_id)) WHERE rn <= 10""",
+    "f_user_factors": """
+        SELECT user_id, CAST(embedding AS DOUBLE[]) AS vec FROM (SELECT DISTINCT user_id FROM events) u
+        JOIN embeddings e ON e.vec_id = u.user_id % (SELECT count(*) FROM embeddings)""",
     "f_item_vectors": """
         SELECT vec_id AS item_id, label + 1 AS channel_id, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings""",
 }

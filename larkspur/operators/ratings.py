@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.recommendation import ALS
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larkspur.functions import vectors as vx
 from larkspur.operators import windows
-from larkspur.session import shared_folder
+from larkspur.operators.retrieval import best_products
+from larkspur.session import materialise, shared_folder
 
 # Weight of each kind of behaviour.
 BEHAVIOUR_WEIGHTS = {"pv": 0.2, "fav": 0.4, "cart": 0.6, "buy": 1.0}
@@ -112,15 +115,73 @@ def sparsity(ratings: DataFrame) -> DataFrame:
     ).withColumn("empty", 1 - F.col("pairs") / (F.col("users") * F.col("items")))
 
 
-def fit_als(ratings: DataFrame, *, user: str = "user_id", item: str = "movie_id", rating: str = "rating", rank: int = 10,
-            reg: float = 0.1, rounds: int = 5, implicit: bool = False, seed: int = 1) -> ALSModel:
-    shared_folder(ratings.sparkSession)
-    typed = ratings.select(F.col(user).cast("int"), F.col(item).cast("int"), F.col(rating).cast("float"))
-    return ALS(userCol=user, itemCol=item, ratingCol=rating, rank=rank, regParam=reg, maxIter=rounds,
-               implicitPrefs=implicit, coldStartStrategy="drop", checkpointInterval=5, seed=seed).fit(typed)
+@dataclass(frozen=True)
+class Factors:
+    """A factor model under the ids it was fitted with: tables (user, vec) and (item, vec)."""
+
+    users: DataFrame
+    items: DataFrame
+    user: str
+    item: str
+
+    def transform(self, pairs: DataFrame) -> DataFrame:
+        """``pairs`` with ``prediction``; rows of unknown users or items are dropped."""
+        known = pairs.join(self.users.withColumnRenamed("vec", "_u"), self.user).join(self.items.withColumnRenamed("vec", "_i"), self.item)
+        return known.withColumn("prediction", vx.dot(F.col("_u"), F.col("_i"))).drop("_u", "_i")
+
+    def best(self, k: int, history: DataFrame | None = None, channels: DataFrame | None = None, **search) -> DataFrame:
+        """``k`` best items per user (and channel of ``channels``: item, channel_id) outside the history, with rank."""
+        items = self.items.select(F.col(self.item).alias("item_id"), "vec")
+        items = items.join(channels.select(F.col(self.item).alias("item_id"), "channel_id"), "item_id") if channels is not None else items.withColumn("channel_id", F.lit(0))
+        users = self.users.select(F.col(self.user).alias("user_id"), "vec")
+        past = history and history.select(F.col(self.user).alias("user_id"), F.col(self.item).alias("item_id"))
+        return best_products(users, items, k, past, **search)
+
+    def save(self, path: str) -> None:
+        self.users.write.mode("overwrite").parquet(f"{path}/users")
+        self.items.write.mode("overwrite").parquet(f"{path}/items")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Factors:
+        users, items = spark.read.parquet(f"{path}/users"), spark.read.parquet(f"{path}/items")
+        return cls(users, items, users.columns[0], items.columns[0])
+
 
+def _numbered(ratings: DataFrame, column: str, low: int | None, high: int | None) -> DataFrame:
+    """(column, number) with numbers that fit 32 bits: the ids themselves where they do, else their places in order."""
+    if low is None or (low >= -(1 << 31) and high < 1 << 31):
+        return ratings.select(column).distinct().withColumn("number", F.col(column).cast("int"))
+    return windows.dense_ids(ratings, column, "number").withColumn("number", F.col("number").cast("int"))
 
-def rmse(model: ALSModel, ratings: DataFrame) -> float:
+
+def fit_als(ratings: DataFrame, *, user: str = "user_id", item: str = "movie_id", rating: str = "rating", rank: int = 10,
+            reg: float = 0.1, rounds: int = 5, implicit: bool = False, seed: int = 1) -> Factors:
+    """Alternating least squares over long ids; rows with a null id or rating take no part.
+
+    The fit works on 32-bit numbers.  Ids beyond them are numbered in order first, so none is cut.
+    """
+    shared_folder(ratings.sparkSession)
+    typed = ratings.select(F.col(user).cast("long").alias(user), F.col(item).cast("long").alias(item), F.col(rating).cast("float").alias("_r"))
+    typed = typed.where(F.col(user).isNotNull() & F.col(item).isNotNull() & F.col("_r").isNotNull())
+    ends = typed.agg(*[f(c).alias(f"{f.__name__}{i}") for i, c in enumerate((user, item)) for f in (F.min, F.max)]).first()
+    small = all(x is None or -(1 << 31) <= x < 1 << 31 for x in ends)
+    if small:
+        numbered = typed.select(F.col(user).cast("int").alias("_user"), F.col(item).cast("int").alias("_item"), "_r")
+    else:
+        typed = materialise(typed, "long-id-ratings")
+        names = [materialise(_numbered(typed, c, ends[2 * i], ends[2 * i + 1]), "id-numbers") for i, c in enumerate((user, item))]
+        numbered = typed.join(names[0].withColumnRenamed("number", "_user"), user).join(names[1].withColumnRenamed("number", "_item"), item).select("_user", "_item", "_r")
+    model = ALS(userCol="_user", itemCol="_item", ratingCol="_r", rank=rank, regParam=reg, maxIter=rounds,
+                implicitPrefs=implicit, coldStartStrategy="drop", checkpointInterval=5, seed=seed).fit(numbered)
+    sides = []
+    for i, (factors, column) in enumerate(((model.userFactors, user), (model.itemFactors, item))):
+        vec = F.col("features").cast("array<double>").alias("vec")
+        sides.append(factors.select(F.col("id").cast("long").alias(column), vec) if small
+                     else factors.join(names[i], F.col("id") == F.col("number")).select(column, vec))
+    return Factors(*sides, user, item)
+
+
+def rmse(model: Factors, ratings: DataFrame) -> float:
     return RegressionEvaluator(labelCol="rating", metricName="rmse").evaluate(model.transform(ratings))
 
 
@@ -133,6 +194,15 @@ def als_grid(train: DataFrame, valid: DataFrame, ranks: Sequence[int], regs: Seq
         "factors int, reg double, rmse double, chosen boolean")
 
 
+def learning_curve(train: DataFrame, valid: DataFrame, rounds: Sequence[int], rank: int = 10, reg: float = 0.1) -> DataFrame:
+    """Error on both parts after each number of rounds, as a check of whether the fit still gains."""
+    rows = []
+    for n in rounds:
+        model = fit_als(train, rank=rank, reg=reg, rounds=n)
+        rows.append((n, rmse(model, train), rmse(model, valid)))
+    return train.sparkSession.createDataFrame(rows, "rounds int, train_rmse double, valid_rmse double")
+
+
 def recommend_for_new_user(ratings: DataFrame, liked: DataFrame, n: int, least: int = 25, new_user: int = -1) -> DataFrame:
     """Refit with a user who likes the given items; best unseen items with enough ratings."""
     added = liked.select(F.lit(new_user).alias("user_id"), "movie_id", F.lit(5).alias("rating"))

@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from larkspur import fixtures as fx
 from larkspur.operators import behaviour, graph, ranking, ratings, recall, sampling, text, windows
+from larkspur.operators.retrieval import best_products
+from larkspur.operators.serving import Feed
 from larkspur.plans.content import LABELS, TFIDF, user_weights, word_tables
 from larkspur.plans.registry import query
-from larkspur.session import materialise
+from larkspur.session import materialise, work_path
 
 HASH = "CAST(('0x' || substr(md5({}), 1, 8)) AS BIGINT)"
 FIRST_LIST = "0123456789abcd"
@@ -19,61 +21,102 @@ def items_log(t):
         "user_id", F.col("item").cast("long").alias("item_id"), "channel_id", "action", F.col("action_time").alias("ts"))
 
 
-def clicked_items(t):
-    return items_log(t).filter(F.col("action").isin("click", "collect", "share")).select(
-        "user_id", "channel_id", "item_id").distinct()
+def acted_on(log, *actions):
+    return log.filter(F.col("action").isin(*actions)).select("user_id", "channel_id", "item_id").distinct()
 
 
 # recall -------------------------------------------------------------------
 
-CONTENT = """content AS (SELECT c.user_id, c.channel_id, s.similar_id AS item_id, min(distance) AS distance FROM (
-    SELECT DISTINCT user_id, channel_id, item FROM f_actions_log WHERE action IN ('click', 'collect', 'share')) c
-  JOIN f_similar s ON s.item_id = c.item
-  WHERE NOT EXISTS (SELECT 1 FROM f_actions_log h WHERE h.user_id = c.user_id AND h.item = s.similar_id) GROUP BY 1, 2, 3)"""
+def similar_sql(name: str, *actions: str) -> str:
+    """Similar items of what a user did, without what the user has seen."""
+    listed = ", ".join(f"'{a}'" for a in actions)
+    return f"""{name} AS (SELECT c.user_id, c.channel_id, s.similar_id AS item_id, min(distance) AS distance FROM (
+      SELECT DISTINCT user_id, channel_id, item FROM f_actions_log WHERE action IN ({listed})) c JOIN f_similar s ON s.item_id = c.item
+    WHERE NOT EXISTS (SELECT 1 FROM f_actions_log h WHERE h.user_id = c.user_id AND h.item = s.similar_id) GROUP BY 1, 2, 3)"""
+
+
+CLICKED, ACTED = ("click", "read"), ("click", "collect", "share")
+CONTENT, ONLINE = similar_sql("content", *CLICKED), similar_sql("online", *ACTED)
+FACTORS = """als AS (SELECT user_id, channel_id, item_id, rank FROM (SELECT u.user_id, v.channel_id, v.item_id,
+      row_number() OVER (PARTITION BY u.user_id, v.channel_id ORDER BY list_dot_product(u.vec, v.vec) DESC, v.item_id) AS rank
+    FROM f_user_factors u, f_item_vectors v WHERE NOT EXISTS (SELECT 1 FROM f_actions_log h WHERE h.user_id = u.user_id AND h.item = v.item_id))
+  WHERE rank <= 10)"""
 HOT = """hot AS (SELECT channel_id, item_id FROM (SELECT *, row_number() OVER (PARTITION BY channel_id ORDER BY uses DESC, item_id) AS rn
   FROM (SELECT channel_id, item AS item_id, count(*) AS uses FROM f_actions_log WHERE action NOT IN ('exposure', 'read') GROUP BY 1, 2))
-  WHERE rn <= 3)"""
+  WHERE rn <= 10)"""
 NEW = """fresh AS (SELECT channel_id, item_id FROM (SELECT *, row_number() OVER (PARTITION BY channel_id ORDER BY ts DESC, item_id) AS rn
-  FROM (SELECT channel_id, item AS item_id, max(action_time) AS ts FROM f_actions_log GROUP BY 1, 2)) WHERE rn <= 3)"""
+  FROM (SELECT channel_id, item AS item_id, max(action_time) AS ts FROM f_actions_log GROUP BY 1, 2)) WHERE rn <= 100)"""
 REQUESTS = f"""requests AS (SELECT DISTINCT user_id, channel_id, CASE WHEN contains('{FIRST_LIST}',
   substr(md5(CAST(user_id AS VARCHAR)), 1, 1)) THEN 'Algo-1' ELSE 'Algo-2' END AS strategy FROM f_actions_log)"""
-MERGED = f"""{CONTENT}, {HOT}, {NEW}, {REQUESTS},
+MERGED = f"""{CONTENT}, {ONLINE}, {FACTORS}, {HOT}, {NEW}, {REQUESTS},
   history AS (SELECT user_id, channel_id, item AS item_id FROM f_actions_log WHERE action = 'exposure'
     UNION ALL SELECT user_id, 0, item FROM f_actions_log WHERE action = 'collect'),
-  merged AS (SELECT DISTINCT u.user_id, u.channel_id, u.item_id, r.strategy FROM (
-      SELECT user_id, channel_id, item_id FROM content
+  merged AS MATERIALIZED (SELECT DISTINCT u.user_id, u.channel_id, u.item_id, r.strategy FROM (
+      SELECT user_id, channel_id, item_id FROM als UNION SELECT user_id, channel_id, item_id FROM content
+      UNION SELECT user_id, channel_id, item_id FROM online
       UNION SELECT user_id, r.channel_id, item_id FROM requests r JOIN hot h ON r.channel_id = h.channel_id
       UNION SELECT user_id, r.channel_id, item_id FROM requests r JOIN fresh h ON r.channel_id = h.channel_id) u
     JOIN requests r ON u.user_id = r.user_id AND u.channel_id = r.channel_id
     WHERE NOT EXISTS (SELECT 1 FROM history h WHERE h.user_id = u.user_id AND h.item_id = u.item_id
       AND (h.channel_id = u.channel_id OR h.channel_id = 0)))"""
-SPLIT = f"""{MERGED}, split AS (SELECT user_id, channel_id, item_id, strategy, place, CASE WHEN place > 5 THEN 'waiting' ELSE 'served' END AS state,
-  CASE WHEN place > 5 THEN CAST(floor((place - 6) / 10) AS BIGINT) ELSE 0 END AS page FROM (
-    SELECT *, row_number() OVER (PARTITION BY user_id, channel_id ORDER BY {HASH.format("user_id || ':' || item_id")} DESC, item_id) AS place
-    FROM merged))"""
+SERVED, PAGE, ROUNDS = 4, 6, 3
+
+
+def feed_sql(rounds: int) -> str:
+    """Rounds of the feed for all requests, one after the other: out1, out2 ... and what is still queued at the end (left)."""
+    scored = HASH.format("user_id || ':' || item_id")
+    parts = [MERGED, f"scored AS MATERIALIZED (SELECT user_id, channel_id, item_id, {scored} AS score FROM merged)",
+             "out0 AS (SELECT user_id, channel_id, item_id, 0 AS place, '' AS origin FROM scored WHERE false)", "queue0 AS (SELECT *, 0 AS page FROM out0)"]
+    for i in range(1, rounds + 1):
+        gone = " UNION ALL ".join(f"SELECT user_id, channel_id, item_id FROM out{j}" for j in range(i))
+        queued = " UNION ALL ".join(f"SELECT user_id, channel_id, item_id, place, page FROM queue{j}" for j in range(i))
+        parts.append(f"""gone{i} AS MATERIALIZED ({gone}), open{i} AS MATERIALIZED (SELECT * FROM ({queued}) ANTI JOIN gone{i} USING (user_id, channel_id, item_id)),
+  first{i} AS (SELECT user_id, channel_id, item_id, row_number() OVER (PARTITION BY user_id, channel_id ORDER BY place, item_id) AS place
+    FROM open{i} JOIN (SELECT user_id, channel_id, min(page) AS page FROM open{i} GROUP BY 1, 2) USING (user_id, channel_id, page)),
+  placed{i} AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY user_id, channel_id ORDER BY score DESC, item_id) AS place FROM scored
+    ANTI JOIN open{i} USING (user_id, channel_id) ANTI JOIN gone{i} USING (user_id, channel_id, item_id)),
+  out{i} AS MATERIALIZED (SELECT user_id, channel_id, item_id, place, 'waiting' AS origin FROM first{i} WHERE place <= {SERVED}
+    UNION ALL SELECT user_id, channel_id, item_id, place, 'recall' FROM placed{i} WHERE place <= {SERVED}),
+  queue{i} AS MATERIALIZED (SELECT user_id, channel_id, item_id, place, (place - {SERVED + 1}) // {PAGE} AS page FROM placed{i} WHERE place > {SERVED})""")
+    gone = " UNION ALL ".join(f"SELECT user_id, channel_id, item_id FROM out{j}" for j in range(rounds + 1))
+    queued = " UNION ALL ".join(f"SELECT user_id, channel_id, item_id, place FROM queue{j}" for j in range(rounds + 1))
+    parts.append(f"gone AS ({gone}), waits AS (SELECT * FROM ({queued}) ANTI JOIN gone USING (user_id, channel_id, item_id))")
+    return ", ".join(parts)
 
 
 def content_list(t):
-    return recall.content_recall(clicked_items(t), fx.item_similar(t), items_log(t))
+    log = items_log(t)
+    return recall.content_recall(acted_on(log, *CLICKED), fx.item_similar(t), log)
 
 
-def requests(t):
-    return items_log(t).select("user_id", "channel_id").distinct().withColumn(
+def requests(log):
+    return log.select("user_id", "channel_id").distinct().withColumn(
         "strategy", behaviour.ab_bucket(F.col("user_id"), FIRST_LIST, "Algo-1", "Algo-2"))
 
 
+def factor_list(t, log):
+    """Best items by given factors, ranks within a channel, history out first."""
+    return best_products(fx.user_factors(t), fx.item_vectors(t), 10, log.select("user_id", "item_id"))
+
+
 def merged(t):
-    log = items_log(t)
+    log = materialise(items_log(t), "items-log")
+    similar = materialise(fx.item_similar(t), "similar-items")
     shown = log.filter("action = 'exposure'").select("user_id", "channel_id", "item_id")
     kept = log.filter("action = 'collect'").select("user_id", F.lit(0).alias("channel_id"), "item_id")
-    return recall.merge_recalls(
-        requests(t), {101: content_list(t)}, {103: recall.new_items(log, 3), 104: recall.hot_items(log, 3)},
-        shown.unionByName(kept))
+    lists = {100: factor_list(t, log), 101: recall.content_recall(acted_on(log, *CLICKED), similar, log),
+             102: recall.content_recall(acted_on(log, *ACTED), similar, log)}
+    return recall.merge_recalls(requests(log), lists, {103: recall.new_items(log, 100), 104: recall.hot_items(log, 10)}, shown.unionByName(kept))
 
 
-def split(t):
-    scored = merged(t).withColumn("score", sampling.hash_number(F.col("user_id"), F.col("item_id")))
-    return recall.split_results(materialise(scored, "merged-recalls"), served=5, page=10)
+def rounds(t, n: int):
+    """A feed after ``n`` rounds for everyone, and its requests."""
+    found = materialise(merged(t).withColumn("score", sampling.hash_number(F.col("user_id"), F.col("item_id"))), "merged-recalls")
+    everyone = materialise(requests(items_log(t)), "requests")
+    feed = Feed(t.spark, work_path(t.spark, "feed"), served=SERVED, page=PAGE, buckets=8)
+    for number in range(1, n + 1):
+        feed.serve(number, everyone, lambda idle: found)
+    return feed, everyone
 
 
 @query(f"WITH {CONTENT} SELECT user_id, channel_id, item_id, distance FROM content")
@@ -86,9 +129,14 @@ def app_recall_merge(t):
     return merged(t)
 
 
-@query(f"WITH {SPLIT} SELECT user_id, channel_id, item_id, place, state, page FROM split")
+@query(f"WITH {feed_sql(ROUNDS)} " + " UNION ALL ".join(
+    f"SELECT CAST({i} AS BIGINT) AS round, user_id, channel_id, item_id, place, origin FROM out{i}" for i in range(1, ROUNDS + 1))
+    + " UNION ALL SELECT CAST(0 AS BIGINT), user_id, channel_id, item_id, place, 'left' FROM waits")
 def app_result_split(t):
-    return split(t).select("user_id", "channel_id", "item_id", "place", "state", "page")
+    feed, everyone = rounds(t, ROUNDS)
+    out = feed.history.read().select(F.col("batch_id").alias("round"), "user_id", "channel_id", "item_id", "place", "origin")
+    left = feed.waiting(ROUNDS + 1, everyone).select(F.lit(0).cast("long").alias("round"), "user_id", "channel_id", "item_id", "place", F.lit("left").alias("origin"))
+    return out.unionByName(left)
 
 
 @query(f"""SELECT c_custkey, CASE WHEN contains('{FIRST_LIST}', substr(md5(CAST(c_custkey AS VARCHAR)), 1, 1))
@@ -98,18 +146,20 @@ def app_ab_bucket(t):
         "c_custkey", behaviour.ab_bucket(F.col("c_custkey"), FIRST_LIST, "Algo-1", "Algo-2").alias("strategy"))
 
 
-@query(f"""WITH {SPLIT}, lists AS (SELECT user_id, channel_id, strategy, list(item_id ORDER BY place) AS items FROM split
-    WHERE state = 'served' GROUP BY 1, 2, 3)
-  SELECT user_id, channel_id, CAST(json_object('action', 'exposure', 'userId', CAST(user_id AS VARCHAR), 'articleId',
-      '[' || array_to_string(items, ', ') || ']', 'algorithmCombine', strategy) AS VARCHAR) AS param,
-    CAST(json_object('action', 'read', 'userId', CAST(user_id AS VARCHAR), 'articleId', CAST(items[1] AS VARCHAR),
-      'algorithmCombine', strategy) AS VARCHAR) AS first_read FROM lists""")
+def track_sql(action: str, items: str) -> str:
+    return f"CAST(json_object('action', '{action}', 'userId', CAST(user_id AS VARCHAR), 'articleId', {items}, 'algorithmCombine', strategy) AS VARCHAR)"
+
+
+@query(f"""WITH {feed_sql(1)}, lists AS (SELECT user_id, channel_id, strategy, list(item_id ORDER BY place) AS items
+    FROM out1 JOIN requests USING (user_id, channel_id) GROUP BY 1, 2, 3),
+  singles AS (SELECT *, unnest(items) AS item_id FROM lists)
+  SELECT user_id, channel_id, {track_sql("exposure", "'[' || array_to_string(items, ', ') || ']'")} AS param, item_id AS article_id,
+    """ + ", ".join(f'{track_sql(a, "CAST(item_id AS VARCHAR)")} AS "{a}"' for a in ("click", "collect", "share", "read")) + " FROM singles")
 def app_track_params(t):
-    served = split(t).filter("state = 'served'")
+    feed, everyone = rounds(t, 1)
     in_order = F.transform(F.array_sort(F.collect_list(F.struct("place", "item_id"))), lambda x: x["item_id"])
-    lists = served.groupBy("user_id", "channel_id", "strategy").agg(in_order.alias("items"))
-    return recall.track_params(lists).select(
-        "user_id", "channel_id", "param", F.col("recommends")[0]["read"].alias("first_read"))
+    lists = feed.history.read().join(everyone, ["user_id", "channel_id"]).groupBy("user_id", "channel_id", "strategy").agg(in_order.alias("items"))
+    return recall.track_params(lists).select("user_id", "channel_id", "param", F.inline("recommends"))
 
 
 @query()
@@ -118,7 +168,7 @@ def app_als_recall(t):
     clicks = basic.select("user_id", F.col("article_id").cast("long").alias("item_id"), F.col("clicked").cast("int").alias("clicked"))
     channels = fx.articles(t).select(F.col("article_id").alias("item_id"), "channel_id")
     seen = items_log(t).filter(F.col("action").isin("click", "read"))
-    return recall.als_recall(clicks, channels, seen, per_user=30)
+    return recall.als_recall(clicks, channels, seen, per_user=100)
 
 
 # features and ranking -----------------------------------------------------
@@ -239,8 +289,7 @@ def app_als_explicit(t):
 @query()
 def app_category_recall_fill(t):
     model = ratings.fit_als(behaviour_ratings(t), item="cate_id")
-    best = model.recommendForAllUsers(20).select("user_id", F.posexplode("recommendations").alias("pos", "r"))
-    predicted = best.select("user_id", F.col("r.cate_id").alias("cate_id"), (F.col("pos") + 1).alias("place"))
+    predicted = model.best(20).select("user_id", F.col("item_id").alias("cate_id"), F.col("rank").alias("place"))
     return recall.category_fill(predicted, fx.ads(t).select("cate_id", F.col("adgroup_id").alias("item_id")))
 
 
@@ -380,8 +429,7 @@ def app_lfm(t):
     balanced = windows.head_balance(materialise(labelled, "labelled-ratings"), "user_id", "movie_id", "label", "m")
     signs = balanced.withColumn("sign", F.when(F.col("label") == 1, 1.0).otherwise(-1.0))
     model = ratings.fit_als(signs, rating="sign", rank=8)
-    best = model.recommendForAllUsers(10).select("user_id", F.posexplode("recommendations").alias("pos", "r"))
-    return best.select("user_id", F.col("r.movie_id").alias("movie_id"), F.col("r.rating").alias("score"), "pos")
+    return model.best(10).select("user_id", F.col("item_id").alias("movie_id"), "score", (F.col("rank") - 1).alias("pos"))
 
 
 # graph --------------------------------------------------------------------

@@ -6,24 +6,29 @@ from pyspark.sql import functions as F
 
 from larkspur import fixtures as fx
 from larkspur.operators import windows
-from larkspur.plans.recommend import CONTENT
+from larkspur.plans.recommend import ONLINE
 from larkspur.plans.registry import query
+from larkspur.session import materialise, work_path
 from larkspur.streaming import jobs
 
 STAMP = "yyyy-MM-dd HH:mm:ss"
 
 
 class StreamTables:
-    """The tables of a folder with ``events`` as a stream."""
+    """The tables of a folder with ``events`` as a stream, in one batch or in several of one file each."""
 
-    def __init__(self, t):
+    def __init__(self, t, files: int | None = None):
         # A pattern, so that one file and a folder of files are both accepted.
-        self.events = jobs.file_stream(t.spark, t.path("events") + "*", t.events.schema)
+        source, events = t.path("events") + "*", t.events
+        if files:
+            source = work_path(t.spark, "events-in-parts")
+            events.repartitionByRange(files, "event_id").write.parquet(source)
+        self.events = jobs.file_stream(t.spark, source, events.schema, files_per_batch=1 if files else None)
 
 
-def log_stream(t):
+def log_stream(t, files: int | None = None):
     """Click log with time stamps that carry a zone, as watermarks need."""
-    log = fx.actions_log(StreamTables(t))
+    log = fx.actions_log(StreamTables(t, files))
     return log.select("event_id", "user_id", F.col("action_time").cast("timestamp").alias("action_time"), "action",
                       F.col("item").cast("long").alias("item_id"), "channel_id", "article_text", "read_time")
 
@@ -65,10 +70,12 @@ def str_new_items(t):
     return jobs.new_items(log_stream(t)).withColumn("ts", F.date_format("ts", STAMP))
 
 
-@query(f"WITH {CONTENT} SELECT user_id, channel_id, item_id FROM content")
+@query(f"WITH {ONLINE} SELECT user_id, channel_id, item_id FROM online")
 def str_online_recall(t):
     history = fx.actions_log(t).select("user_id", F.col("item").cast("long").alias("item_id"))
-    return jobs.online_recall(log_stream(t), fx.item_similar(t), history)
+    # Several batches: a pair recalled twice would be there twice.
+    found = jobs.online_recall(log_stream(t, files=3), materialise(fx.item_similar(t), "similar-items"), history, buckets=8)
+    return found.drop("batch_id")
 
 
 @query("""SELECT user_id, level FROM (SELECT user_id, CASE WHEN item % 6 IN (1, 2, 3, 4) THEN CAST(item % 6 AS BIGINT) END AS level,
@@ -96,7 +103,7 @@ def str_category_recall(t):
 @query("SELECT event_id, user_id FROM events")
 def str_dedup(t):
     twice = log_stream(t).unionByName(log_stream(t)).select("event_id", "user_id", "action_time")
-    return jobs.deduplicated(twice, "event_id", delay="60 days").select("event_id", "user_id")
+    return jobs.deduplicated(twice, "event_id").select("event_id", "user_id")
 
 
 @query("""SELECT user_id, event_id, back FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS back

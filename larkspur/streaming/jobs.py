@@ -2,9 +2,10 @@
 
 Sources are folders of files (or Kafka, where its jar is present); every job
 has a checkpoint folder.  Jobs that keep a table up to date write the rows of
-a micro-batch to a folder of their own, ``batch_id=N``, replacing it if the
-batch is repeated.  Readers combine the folders by key, so a restart neither
-loses nor counts anything twice, and no batch rewrites the table.
+a micro-batch to a batch of a :class:`BatchTable`, replacing it if the batch
+is repeated.  Readers combine the batches by key, so a restart neither loses
+nor counts anything twice; every ``merge_after`` batches what they amount to
+takes their place, so a table does not grow with the number of batches.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from larkspur.operators import windows
 from larkspur.operators.sampling import hash_number
 from larkspur.session import work_path
+from larkspur.sources.batches import FIRST, BatchTable
 
 LOG_SCHEMA = (
     "actionTime string, readTime string, channelId int, "
@@ -68,31 +70,26 @@ def run_to_end(stream: DataFrame, name: str, mode: str, each: Callable[[DataFram
     query.awaitTermination()
 
 
-def batch_folder(path: str) -> Callable[[DataFrame, int], None]:
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-    return write
-
-
 def to_table(stream: DataFrame, name: str, mode: str = "append", prepare: Callable[[DataFrame], DataFrame] | None = None,
-             checkpoint: str | None = None, path: str | None = None) -> DataFrame:
-    """Run a stream into batch folders and read them back with their ``batch_id``.
+             checkpoint: str | None = None, path: str | None = None, combine: Callable[[DataFrame], DataFrame] | None = None,
+             merge_after: int = 50) -> DataFrame:
+    """Run a stream into a table of batches and read it back with ``batch_id``.
 
     The schema is that of an empty batch after ``prepare``, so a restart that
-    finds nothing new reads the table like any other run.
+    finds nothing new reads the table like any other run.  With ``combine``,
+    the batches before the one at hand are merged every ``merge_after`` batches.
     """
     spark = stream.sparkSession
-    path = path or work_path(spark, name)
-    write = batch_folder(path)
+    empty = spark.createDataFrame([], stream.schema)
+    table = BatchTable.open(spark, path or work_path(spark, name), (prepare(empty) if prepare else empty).schema)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        write(prepare(batch) if prepare else batch, batch_id)
+        table.write(prepare(batch) if prepare else batch, batch_id)
+        if combine and batch_id and batch_id % merge_after == 0:
+            table.merge(combine, upto=batch_id - 1)
 
     run_to_end(stream, name, mode, each, checkpoint=checkpoint)
-    empty = spark.createDataFrame([], stream.schema)
-    shape = (prepare(empty) if prepare else empty).schema
-    return spark.read.schema(T.StructType([*shape.fields, T.StructField("batch_id", T.LongType())])).parquet(path)
+    return table.read()
 
 
 # jobs ---------------------------------------------------------------------
@@ -101,8 +98,11 @@ def hot_items(log: DataFrame, **where) -> DataFrame:
     """Running count per (channel, item) of uses; the newest count of a key stands."""
     uses = log.filter(~F.col("action").isin("exposure", "read"))
     counts = uses.groupBy("channel_id", "item_id").agg(F.count("*").alias("uses"))
-    table = to_table(counts, "hot-items", "update", **where)
-    return table.groupBy("channel_id", "item_id").agg(F.max_by("uses", "batch_id").alias("uses"))
+
+    def newest(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("channel_id", "item_id").agg(F.max_by("uses", "batch_id").alias("uses"), F.max("batch_id").alias("batch_id"))
+
+    return newest(to_table(counts, "hot-items", "update", combine=newest, **where)).drop("batch_id")
 
 
 def hot_items_by_window(log: DataFrame, delay: str = "2 hours", width: str = "1 hour", step: str = "15 minutes",
@@ -123,20 +123,44 @@ def new_items(log: DataFrame, **where) -> DataFrame:
     def newest(batch: DataFrame) -> DataFrame:
         return batch.groupBy("channel_id", "item_id").agg(F.max("action_time").alias("ts"))
 
-    table = to_table(log.select("channel_id", "item_id", "action_time"), "new-items", prepare=newest, **where)
-    return table.groupBy("channel_id", "item_id").agg(F.max("ts").alias("ts"))
+    def last(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("channel_id", "item_id").agg(F.max("ts").alias("ts"), F.max("batch_id").alias("batch_id"))
+
+    return last(to_table(log.select("channel_id", "item_id", "action_time"), "new-items", prepare=newest, combine=last, **where)).drop("batch_id")
 
 
-def online_recall(log: DataFrame, similar: DataFrame, history: DataFrame, **where) -> DataFrame:
-    """Similar items of what was clicked, collected or shared, minus the user's history."""
+RECALLED = "user_id long, channel_id int, item_id long"
+
+
+def online_recall(log: DataFrame, similar: DataFrame, history: DataFrame, checkpoint: str | None = None, path: str | None = None,
+                  buckets: int = 64, merge_after: int = 50) -> DataFrame:
+    """Similar items of what was clicked, collected or shared, each recalled once for a user and channel.
+
+    What is recalled is history at once: a batch leaves out what earlier
+    batches recalled for the same user and channel, and what the user had
+    before (``history``: user_id, item_id, for all channels).  Both lie in one
+    table by bucket of users, so a batch reads the buckets of its own users
+    only.  Returns the keys, item_id and the batch that recalled it.
+    """
+    spark = log.sparkSession
+    before = history.select("user_id", F.lit(None).cast("int").alias("channel_id"), "item_id").distinct()
+    table = BatchTable.open(spark, path or work_path(spark, "online-recall"), RECALLED, ["user_id"], buckets, first=before)
     acted = log.filter(F.col("action").isin("click", "collect", "share")).select("user_id", "channel_id", "item_id")
     found = acted.join(similar.select("item_id", "similar_id"), "item_id").select(
         "user_id", "channel_id", F.col("similar_id").alias("item_id"))
 
-    def fresh(batch: DataFrame) -> DataFrame:
-        return batch.distinct().join(history.select("user_id", "item_id").distinct(), ["user_id", "item_id"], "left_anti")
+    def each(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.distinct().persist()
+        past = table.read(before=batch_id, of=batch)
+        everywhere = past.filter("channel_id is null").select("user_id", "item_id")
+        same = past.filter("channel_id is not null").select("user_id", "channel_id", "item_id")
+        table.write(batch.join(everywhere, ["user_id", "item_id"], "left_anti").join(same, ["user_id", "channel_id", "item_id"], "left_anti"), batch_id)
+        batch.unpersist()
+        if batch_id and batch_id % merge_after == 0:
+            table.merge(lambda rows: rows, upto=batch_id - 1)
 
-    return to_table(found, "online-recall", prepare=fresh, **where).drop("batch_id").distinct()
+    run_to_end(found, "online-recall", "append", each, checkpoint=checkpoint)
+    return table.read().where(F.col("batch_id") > FIRST).select("user_id", "channel_id", "item_id", "batch_id")
 
 
 def profile_level(log: DataFrame, level: Column, **where) -> DataFrame:
@@ -148,8 +172,10 @@ def profile_level(log: DataFrame, level: Column, **where) -> DataFrame:
     def newest(batch: DataFrame) -> DataFrame:
         return windows.latest(batch, ["user_id"], order, ["level", *order])
 
-    table = to_table(updates, "profile-level", prepare=newest, **where)
-    return windows.latest(table, ["user_id"], order, ["level"])
+    def standing(rows: DataFrame) -> DataFrame:
+        return windows.latest(rows, ["user_id"], order, ["level", *order, "batch_id"])
+
+    return standing(to_table(updates, "profile-level", prepare=newest, combine=standing, **where)).select("user_id", "level")
 
 
 def category_recall(log: DataFrame, pool: DataFrame, draws: int = 50, **where) -> DataFrame:
@@ -206,7 +232,13 @@ def last_actions(log: DataFrame, n: int, salts: int = 4, delay: str = "1 day", i
     states = keyed.groupBy("user_id", "salt").applyInPandasWithState(
         keep, "user_id long, salt long, micros array<long>, ids array<long>", "micros array<long>, ids array<long>",
         "update", GroupStateTimeout.EventTimeTimeout)
-    table = to_table(states, "last-actions", "update", **where)
-    rows = table.select("user_id", F.explode(F.arrays_zip("micros", "ids")).alias("x")).select(
-        "user_id", "x.micros", F.col("x.ids").alias("event_id")).distinct()
-    return windows.top_k(rows, ["user_id"], [F.desc("micros"), F.desc("event_id")], n, rank="back")
+    def last(rows: DataFrame) -> DataFrame:
+        each = rows.select("user_id", "batch_id", F.explode(F.arrays_zip("micros", "ids")).alias("x"))
+        each = each.groupBy("user_id", "x.micros", F.col("x.ids").alias("event_id")).agg(F.max("batch_id").alias("batch_id"))
+        return windows.top_k(each, ["user_id"], [F.desc("micros"), F.desc("event_id")], n, rank="back")
+
+    def combine(rows: DataFrame) -> DataFrame:
+        kept = last(rows).groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("micros", "event_id"))).alias("x"), F.max("batch_id").alias("batch_id"))
+        return kept.select("user_id", F.lit(0).cast("long").alias("salt"), F.col("x.micros").alias("micros"), F.col("x.event_id").alias("ids"), "batch_id")
+
+    return last(to_table(states, "last-actions", "update", combine=combine, **where)).drop("batch_id")
