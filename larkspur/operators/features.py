@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import MinMaxScaler, OneHotEncoder, QuantileDiscretizer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkspur.functions import vectors as vx
@@ -37,3 +37,21 @@ def ctr_pipeline(variant: str = "plain", buckets: int = RATE_BUCKETS) -> Pipelin
         VectorAssembler(inputCols=["content_vector", "ctr_bucket", *PLAIN, *extra], outputCol="assembled"),
         MinMaxScaler(inputCol="assembled", outputCol="scaled"),
     ])
+
+
+def chosen_by_p(tests: DataFrame, mode: str, value: float) -> DataFrame:
+    """Features kept of ``tests`` (feature, p), one row each, by one of the five rules.
+
+    ``top`` keeps ``value`` features, ``percentile`` that share of them,
+    ``fpr`` all with p under it, ``fwe`` with p under it divided by their
+    number, ``fdr`` steps up: all up to the last whose p is at most its place
+    times ``value`` by their number.  Equal p keep the order of the features.
+    The table has one row per slot of a vector, so it fits one task.
+    """
+    placed = tests.withColumns({"place": F.row_number().over(Window.orderBy("p", "feature")), "n": F.count("*").over(Window.partitionBy())})
+    if mode == "fdr":
+        reached = F.when(F.col("p") <= F.lit(value) / F.col("n") * F.col("place"), F.col("place"))
+        return placed.withColumn("last", F.max(reached).over(Window.partitionBy())).where("place <= last").select("feature")
+    rule = {"top": F.col("place") <= value, "percentile": F.col("place") <= F.floor(F.col("n") * value),
+            "fpr": F.col("p") < value, "fwe": F.col("p") < F.lit(value) / F.col("n")}[mode]
+    return placed.where(rule).select("feature")

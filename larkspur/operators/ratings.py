@@ -134,7 +134,7 @@ class Factors:
         items = self.items.select(F.col(self.item).alias("item_id"), "vec")
         items = items.join(channels.select(F.col(self.item).alias("item_id"), "channel_id"), "item_id") if channels is not None else items.withColumn("channel_id", F.lit(0))
         users = self.users.select(F.col(self.user).alias("user_id"), "vec")
-        past = history and history.select(F.col(self.user).alias("user_id"), F.col(self.item).alias("item_id"))
+        past = None if history is None else history.select(F.col(self.user).alias("user_id"), F.col(self.item).alias("item_id"))
         return best_products(users, items, k, past, **search)
 
     def save(self, path: str) -> None:

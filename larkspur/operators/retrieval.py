@@ -53,17 +53,18 @@ def _probe(cells, share: float, least: int, width: int):
     def run(batches):
         known = cells.value
         for batch in batches:
-            users, vectors = batch.column("user_id").to_numpy(), _matrix(batch.column("vec"), width)
+            vectors, own = _matrix(batch.column("vec"), width), batch.column("only").to_numpy(zero_copy_only=False)
             length = np.linalg.norm(vectors, axis=1)
             for channel, (numbers, centres, radius) in known.items():
                 wanted = min(len(numbers), max(least, math.ceil(share * len(numbers))))
-                for low in range(0, len(users), 1024):
-                    part = slice(low, low + 1024)
+                asking = np.flatnonzero(np.isnan(own) | (own == channel)) if own.dtype.kind == "f" else np.flatnonzero(own == channel)
+                for low in range(0, len(asking), 1024):
+                    part = asking[low : low + 1024]
                     promise = vectors[part] @ centres.T + 0.5 * length[part, None] * radius
                     best = np.argpartition(-promise, wanted - 1, axis=1)[:, :wanted]
-                    row = np.repeat(np.arange(low, low + len(best)), wanted)
+                    row = pa.array(np.repeat(part, wanted))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(users[row]), pa.array(np.full(len(row), channel, np.int64)), pa.array(numbers[best.reshape(-1)]), batch.column("vec").take(pa.array(row))],
+                        [batch.column("user_id").take(row), pa.array(np.full(len(row), channel, np.int64)), pa.array(numbers[best.reshape(-1)]), batch.column("vec").take(row)],
                         ["user_id", "channel_id", "cell", "user_vec"])
 
     return run
@@ -73,8 +74,9 @@ def candidates(users: DataFrame, items: DataFrame, small: int = 1024, bands: int
                most_cells: int = 100_000) -> DataFrame:
     """(user_id, channel_id, item_id, score): items of each channel that may score high with each user.
 
-    ``users`` has user_id and vec, ``items`` item_id, channel_id and vec, all
-    vectors of one width.  A channel is cut into ``bands`` of the vectors'
+    ``users`` has user_id and vec, and may have channel_id: such a user looks
+    into that channel only.  ``items`` has item_id, channel_id and vec.  Ids
+    may be of any type, channels are numbers, all vectors have one width.  A channel is cut into ``bands`` of the vectors'
     norms; in each band a hash sample of about the square root of the
     channel's items serves as anchors, and an item belongs to the cell of the
     anchor nearest to it once the band's norms are made equal.  A user opens
@@ -88,10 +90,15 @@ def candidates(users: DataFrame, items: DataFrame, small: int = 1024, bands: int
     channel or vector take no part.
     """
     spark = users.sparkSession
-    users = users.where("user_id is not null and vec is not null").select(F.col("user_id").cast("long").alias("user_id"), F.col("vec").cast("array<double>").alias("vec"))
+    if "channel_id" in users.columns:
+        users = users.where("channel_id is not null").withColumn("only", F.col("channel_id").cast("long"))
+    else:
+        users = users.withColumn("only", F.lit(None).cast("long"))
+    users = users.where("user_id is not null and vec is not null").select("user_id", "only", F.col("vec").cast("array<double>").alias("vec"))
     items = items.where("item_id is not null and channel_id is not null and vec is not null").select(
-        F.col("item_id").cast("long").alias("item_id"), F.col("channel_id").cast("long").alias("channel_id"), F.col("vec").cast("array<double>").alias("vec"))
-    nothing = spark.createDataFrame([], "user_id long, channel_id long, item_id long, score double")
+        "item_id", F.col("channel_id").cast("long").alias("channel_id"), F.col("vec").cast("array<double>").alias("vec"))
+    user_type, item_type = (df.schema[c].dataType.simpleString() for df, c in ((users, "user_id"), (items, "item_id")))
+    nothing = spark.createDataFrame([], f"user_id {user_type}, channel_id long, item_id {item_type}, score double")
     width = items.agg(F.max(F.size("vec"))).first()[0]
     if not width:
         return nothing
@@ -115,7 +122,7 @@ def candidates(users: DataFrame, items: DataFrame, small: int = 1024, bands: int
         anchors[key] = np.arange(number, number + len(rows)), _lifted(np.array([v for *_, v in rows], float), np.array([m for _, m, _ in rows]))
         number += len(rows)
     known = spark.sparkContext.broadcast(anchors)
-    celled = banded.select("item_id", "channel_id", "band", "longest", "vec").mapInArrow(_assign(known, width), "item_id long, channel_id long, cell long, vec array<double>")
+    celled = banded.select("item_id", "channel_id", "band", "longest", "vec").mapInArrow(_assign(known, width), f"item_id {item_type}, channel_id long, cell long, vec array<double>")
     celled = materialise(celled, "retrieval-cells")
 
     squares = F.aggregate("vec", F.lit(0.0), lambda total, x: total + x * x)
@@ -128,7 +135,7 @@ def candidates(users: DataFrame, items: DataFrame, small: int = 1024, bands: int
         middle = np.array([c for _, c, _ in rows])
         spread = np.sqrt(np.maximum(0, np.array([s for *_, s in rows]) - (middle * middle).sum(axis=1)))
         table[channel] = np.array([n for n, *_ in rows]), middle, spread
-    opened = users.mapInArrow(_probe(spark.sparkContext.broadcast(table), share, least, width), "user_id long, channel_id long, cell long, user_vec array<double>")
+    opened = users.mapInArrow(_probe(spark.sparkContext.broadcast(table), share, least, width), f"user_id {user_type}, channel_id long, cell long, user_vec array<double>")
     met = opened.join(celled, ["channel_id", "cell"])
     return met.select("user_id", "channel_id", "item_id", vx.dot(F.col("user_vec"), F.col("vec")).alias("score"))
 
@@ -144,7 +151,8 @@ def best_products(users: DataFrame, items: DataFrame, k: int, history: DataFrame
     key = ["user_id", "channel_id"]
     found = candidates(users, items, **search)
     if history is not None:
-        seen = materialise(history.select(F.col("user_id").cast("long").alias("user_id"), F.col("item_id").cast("long").alias("item_id")).distinct(), "retrieval-history")
+        seen = materialise(history.select(F.col("user_id").cast(found.schema["user_id"].dataType).alias("user_id"),
+                                          F.col("item_id").cast(found.schema["item_id"].dataType).alias("item_id")).distinct(), "retrieval-history")
         long = materialise(seen.groupBy("user_id").count().where(F.col("count") > patience).select("user_id"), "long-histories")
         short = windows.top_k(found.join(long, "user_id", "left_anti"), key, order, k + patience).drop("rank")
         short = short.join(seen, ["user_id", "item_id"], "left_anti")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,23 @@ def exact_sample(df: DataFrame, key: Column, n: int) -> DataFrame:
     return df.withColumn("_h", hash_number(key)).orderBy("_h", key).limit(n).drop("_h")
 
 
+def poisson_sample(df: DataFrame, key: Column, fraction: float, seed: int = 0, name: str = "draw") -> DataFrame:
+    """Rows drawn with replacement, ``fraction`` times on average: each row is repeated by a Poisson number from its hash.
+
+    Independent of partitions and runs; ``name`` numbers a row's draws from 1.
+    """
+    chance, total, steps = math.exp(-fraction), 0.0, []
+    for k in range(200):
+        total += chance
+        steps.append(min(int(total * 2**32), 2**32))
+        if steps[-1] == 2**32 or total >= 1 - 2**-33:
+            break
+        chance *= fraction / (k + 1)
+    place = hash_number(key, F.lit(seed))
+    draws = F.size(F.filter(F.array(*[F.lit(s).cast("long") for s in steps]), lambda s: s <= place))
+    return df.withColumn("_draws", draws).where("_draws > 0").withColumn(name, F.explode(F.sequence(F.lit(1), F.col("_draws")))).drop("_draws")
+
+
 def hash_split(df: DataFrame, key: Column, share: float, name: str = "part") -> DataFrame:
     """Disjoint and complete: 'train' below the share, else 'test'."""
     return df.withColumn(name, F.when(hash_number(key) < int(share * 2**32), "train").otherwise("test"))

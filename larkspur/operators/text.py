@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from larkspur.functions import text as tx
 from larkspur.functions import vectors as vx
 from larkspur.operators import windows
+from larkspur.operators.retrieval import best_products
 
 DOC = ["article_id", "channel_id"]
 
@@ -142,6 +143,19 @@ def word_vectors(words: DataFrame, size: int = 100, min_count: int = 3, parts: i
         F.element_at(F.split("word", ":"), 2).alias("keyword"), vector_to_array("vector").alias("vec"))
 
 
+def synonyms(vectors: DataFrame, k: int = 10, **search) -> DataFrame:
+    """``k`` words of the same channel nearest by cosine to each word, found by cells of the channel's vectors.
+
+    Exact in channels of up to 1,024 words (``small``); beyond, see :func:`retrieval.candidates`.
+    Words without a length have no neighbours and are none.
+    """
+    size = vx.norm(F.col("vec"))
+    units = vectors.where(size > 0).select("channel_id", "keyword", vx.scale(F.col("vec"), 1 / size).alias("vec"))
+    near = best_products(units.withColumnRenamed("keyword", "user_id"), units.withColumnRenamed("keyword", "item_id"), k + 1, **search)
+    other = near.where("user_id <> item_id").select("channel_id", F.col("user_id").alias("keyword"), F.col("item_id").alias("synonym"), F.col("score").alias("cosine"))
+    return windows.top_k(other, ["channel_id", "keyword"], [F.desc("cosine"), F.asc("synonym")], k)
+
+
 def document_vectors(weights: DataFrame, vectors: DataFrame, on: Sequence[str]) -> DataFrame:
     """Mean of the distinct weight x word vector products of an article.
 

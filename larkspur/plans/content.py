@@ -179,8 +179,17 @@ def app_article_profile(t):
 
 @query()
 def app_word_vectors(t):
-    vectors = text.word_vectors(word_tables(t)[1], size=100, min_count=3)
-    return vectors.select("channel_id", "keyword", F.size("vec").alias("width"))
+    return word_vectors(t).select("channel_id", "keyword", F.size("vec").alias("width"), F.transform("vec", lambda x: F.round(x, 6)).alias("vec"))
+
+
+def word_vectors(t):
+    return text.word_vectors(word_tables(t)[1], size=100, min_count=3)
+
+
+@query()
+def app_word_synonyms(t):
+    near = text.synonyms(materialise(word_vectors(t), "word-vectors"), k=10)
+    return near.select("channel_id", "keyword", "synonym", F.round("cosine", 6).alias("cosine"), "rank")
 
 
 @query(f"""WITH {TFIDF}, x AS (SELECT DISTINCT article_id, channel_id, list_transform(CAST(e.embedding AS DOUBLE[]), lambda v: v * tfidf) AS x

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (
     DecisionTreeClassifier, FMClassifier, GBTClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier,
@@ -10,20 +12,22 @@ from pyspark.ml.clustering import LDA, GaussianMixture, KMeans
 from pyspark.ml.evaluation import (
     BinaryClassificationEvaluator, ClusteringEvaluator, MulticlassClassificationEvaluator, RegressionEvaluator)
 from pyspark.ml.feature import (
-    IDF, Binarizer, Bucketizer, ChiSqSelector, CountVectorizer, ElementwiseProduct, HashingTF, IndexToString, MaxAbsScaler,
+    IDF, Binarizer, Bucketizer, CountVectorizer, ElementwiseProduct, HashingTF, IndexToString, MaxAbsScaler,
     MinMaxScaler, NGram, Normalizer, OneHotEncoder, PCA, PolynomialExpansion, QuantileDiscretizer, RegexTokenizer, RFormula,
     SQLTransformer, StandardScaler, StopWordsRemover, StringIndexer, Tokenizer, VectorAssembler, VectorIndexer, VectorSlicer)
 from pyspark.ml.fpm import FPGrowth
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import (
     DecisionTreeRegressor, GBTRegressor, GeneralizedLinearRegression, LinearRegression, RandomForestRegressor)
+from pyspark.ml.stat import ChiSquareTest
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larkspur import fixtures as fx
 from larkspur.functions import text as tx
 from larkspur.functions import vectors as vx
-from larkspur.operators import features, models, sampling, series
+from larkspur.operators import evaluation, features, models, patterns, sampling, series
 from larkspur.plans.registry import query
 from larkspur.session import materialise, work_path
 
@@ -137,12 +141,27 @@ def fe_quantile_buckets(t):
     return stage.fit(t.orders).transform(t.orders).groupBy("bucket").agg(F.count("*").alias("n"))
 
 
-@query()
+CELLS = """long AS (SELECT u.feature, u.v, CAST(l_quantity * (1 - l_discount) > 24 AS INTEGER) AS label FROM lineitem,
+    unnest([{'feature': 0, 'v': l_quantity}, {'feature': 1, 'v': l_discount}, {'feature': 2, 'v': l_tax}, {'feature': 3, 'v': l_linenumber}]) AS e(u)),
+  cells AS (SELECT feature, v, label, count(*) AS n FROM long GROUP BY 1, 2, 3),
+  grid AS (SELECT a.feature, a.v, b.label, coalesce(c.n, 0) AS n, a.n * b.n / a.total AS e FROM
+      (SELECT feature, v, sum(n) AS n, sum(sum(n)) OVER (PARTITION BY feature) AS total FROM cells GROUP BY 1, 2) a
+    JOIN (SELECT feature, label, sum(n) AS n FROM cells GROUP BY 1, 2) b ON a.feature = b.feature
+    LEFT JOIN cells c ON c.feature = a.feature AND c.v = a.v AND c.label = b.label),
+  stat AS (SELECT feature, sum((n - e) * (n - e) / e) / 2 AS x, (count(DISTINCT v) - 1) * (count(DISTINCT label) - 1) / 2 AS a FROM grid GROUP BY 1),
+  tests AS (SELECT feature, CASE WHEN x > 300 THEN 0.0 ELSE greatest(0, 1 - list_sum([exp(-x + (a + i) * ln(x) - lgamma(a + i + 1)) FOR i IN range(2000)])) END AS p FROM stat),
+  placed AS (SELECT *, row_number() OVER (ORDER BY p, feature) AS place, count(*) OVER () AS n FROM tests)"""
+MODES = {"top": 2, "percentile": 0.5, "fpr": 0.05, "fdr": 0.05, "fwe": 0.05}
+
+
+@query(f"""WITH {CELLS} SELECT mode, CAST(feature AS INTEGER) AS feature FROM (
+  SELECT 'top' AS mode, feature FROM placed WHERE place <= 2 UNION ALL SELECT 'percentile', feature FROM placed WHERE place <= floor(n * 0.5)
+  UNION ALL SELECT 'fpr', feature FROM placed WHERE p < 0.05 UNION ALL SELECT 'fwe', feature FROM placed WHERE p < 0.05 / n
+  UNION ALL SELECT 'fdr', feature FROM placed WHERE place <= (SELECT max(place) FROM placed WHERE p <= 0.05 / n * place))""")
 def fe_chisq(t):
-    data = line_samples(t)
-    model = ChiSqSelector(numTopFeatures=2, featuresCol="features", labelCol="label", outputCol="chosen").fit(data)
-    return model.transform(data).select(vector_to_array("chosen").alias("c"), "label").groupBy("label").agg(
-        F.count("*").alias("n"), F.avg(F.col("c")[0]).alias("first"), F.avg(F.col("c")[1]).alias("second"))
+    tests = ChiSquareTest.test(line_samples(t), "features", "label", flatten=True)
+    tests = materialise(tests.select(F.col("featureIndex").alias("feature"), F.col("pValue").alias("p")), "chi-square-tests")
+    return reduce(DataFrame.unionByName, [features.chosen_by_p(tests, mode, value).withColumn("mode", F.lit(mode)) for mode, value in MODES.items()])
 
 
 @query(f"SELECT vec_id, slot, round(x * (slot + 1), 6) AS v FROM {EMB}")
@@ -387,6 +406,28 @@ def ml_logreg(t):
     return confusion(LogisticRegression(maxIter=20, regParam=0.01, elasticNetParam=0.5), t)
 
 
+@query()
+def ml_logreg_summary(t):
+    """The fit's history and its measures on unseen rows: areas, best threshold, recall and precision there."""
+    train, test = halves(t)
+    model = LogisticRegression(maxIter=20, regParam=0.01, elasticNetParam=0.5).fit(train)
+    scored = model.transform(test).select("label", vector_to_array("probability")[1].alias("score"))
+    curve = materialise(evaluation.binary_curve(scored), "logistic-curve")
+    best = evaluation.best_threshold(curve)
+    at_best = curve.join(best, "threshold").select("threshold", "f", "recall", "precision", "fall_out")
+    history = [float(x) for x in model.summary.objectiveHistory]
+    under = evaluation.areas(curve)
+    return at_best.withColumns({"roc": under.select("roc").scalar(), "pr": under.select("pr").scalar(), "first_loss": F.lit(history[0]), "last_loss": F.lit(history[-1]), "rounds": F.lit(len(history) - 1)})
+
+
+@query()
+def ml_logreg_multi(t):
+    """Three classes of line items by one multinomial fit, measured per class on unseen rows."""
+    train, test = (df.withColumn("label", F.when(F.col("price") < 1000, 0.0).when(F.col("price") < 3000, 1.0).otherwise(2.0)) for df in halves(t))
+    model = LogisticRegression(family="multinomial", maxIter=20, regParam=0.001).fit(train)
+    return evaluation.class_measures(model.transform(test))
+
+
 @query("""SELECT round(regr_slope(l_extendedprice, l_quantity), 3) AS slope, round(regr_intercept(l_extendedprice, l_quantity), 2) AS intercept FROM lineitem""")
 def ml_linreg(t):
     data = t.lineitem.select(array_to_vector(F.array("l_quantity")).alias("features"), F.col("l_extendedprice").alias("label"))
@@ -475,20 +516,53 @@ def ml_gmm(t):
 
 @query()
 def ml_lda(t):
-    words = t.documents.select("doc_id", tx.topic_words(F.col("text")).alias("w"))
-    counted = CountVectorizer(inputCol="w", outputCol="features").fit(words).transform(words)
+    """Terms of the topics, with the bound on the likelihood and the perplexity of all documents."""
+    words = materialise(t.documents.select("doc_id", tx.topic_words(F.col("text")).alias("w")), "document-words")
+    # The fit needs a bounded vocabulary: the most frequent words, this many at most.
+    counter = CountVectorizer(inputCol="w", outputCol="features", vocabSize=1 << 18).fit(words)
+    counted = counter.transform(words)
     model = LDA(k=4, maxIter=3, seed=1).fit(counted)
-    return model.transform(counted).select("doc_id", F.round(vx.total(vector_to_array("topicDistribution")), 6).alias("total"))
+    terms = model.describeTopics(10).select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "x"))
+    names = t.spark.createDataFrame(list(enumerate(counter.vocabulary)), "index int, term string")
+    top = terms.join(names, F.col("x.termIndices") == F.col("index")).select("topic", "rank", "term", F.col("x.termWeights").alias("weight"))
+    return top.withColumns({"log_likelihood": F.lit(model.logLikelihood(counted)), "log_perplexity": F.lit(model.logPerplexity(counted))})
+
+
+SETS = """n AS (SELECT count(*) AS n FROM f_baskets),
+  subs AS (SELECT [items[i] FOR i IN range(1, len(items) + 1) IF (m >> (i - 1)) & 1 = 1] AS items FROM (SELECT items, unnest(range(1, 1 << len(items))) AS m FROM f_baskets)),
+  sets AS MATERIALIZED (SELECT items, count(*) AS freq FROM subs, n GROUP BY items HAVING count(*) >= 0.05 * any_value(n))"""
+RULES = f"""{SETS}, split AS (SELECT items, freq, unnest(items) AS consequent FROM sets WHERE len(items) > 1),
+  rules AS MATERIALIZED (SELECT a.items AS antecedent, consequent, s.freq AS freq, s.freq / a.freq AS confidence, s.freq / a.freq / (c.freq / n) AS lift, s.freq / n AS support
+    FROM split s JOIN sets a ON a.items = list_filter(s.items, lambda x: x <> s.consequent) JOIN sets c ON c.items = [s.consequent], n WHERE s.freq / a.freq >= 0.3)"""
 
 
-@query("""WITH n AS (SELECT count(*) AS n FROM f_baskets), one AS (SELECT i AS items, count(*) AS freq FROM (SELECT unnest(items) AS i FROM f_baskets) GROUP BY 1),
-  flat AS (SELECT l_orderkey, unnest(items) AS i FROM f_baskets),
-  two AS (SELECT a.i || ',' || b.i AS items, count(*) AS freq FROM flat a JOIN flat b ON a.l_orderkey = b.l_orderkey AND a.i < b.i GROUP BY 1)
-  SELECT items, freq FROM (SELECT * FROM one UNION ALL SELECT * FROM two), n WHERE freq >= 0.05 * n""")
+def frequent_sets(t):
+    return FPGrowth(itemsCol="items", minSupport=0.05, minConfidence=0.3).fit(fx.baskets(t).select("items")).freqItemsets
+
+
+def basket_rules(t, baskets):
+    return patterns.rules(materialise(frequent_sets(t), "frequent-sets"), baskets.count(), 0.3)
+
+
+@query(f"WITH {SETS} SELECT array_to_string(items, ',') AS items, freq FROM sets")
 def ml_fpgrowth(t):
-    model = FPGrowth(itemsCol="items", minSupport=0.05, minConfidence=0.3).fit(fx.baskets(t).select("items"))
-    sets = model.freqItemsets.filter(F.size("items") <= 2)
-    return sets.select(F.array_join(F.array_sort("items"), ",").alias("items"), "freq")
+    return frequent_sets(t).select(F.array_join(F.array_sort("items"), ",").alias("items"), "freq")
+
+
+@query(f"""WITH {RULES} SELECT array_to_string(antecedent, ',') AS antecedent, consequent, freq, round(confidence, 8) AS confidence,
+  round(lift, 8) AS lift, round(support, 8) AS support FROM rules""")
+def ml_fpgrowth_rules(t):
+    found = basket_rules(t, fx.baskets(t))
+    return found.select(F.array_join("antecedent", ",").alias("antecedent"), "consequent", "freq", *[F.round(c, 8).alias(c) for c in ("confidence", "lift", "support")])
+
+
+@query(f"""WITH {RULES}, said AS (SELECT items, list_sort(list(DISTINCT consequent)) AS p FROM (SELECT DISTINCT items FROM f_baskets) b
+    JOIN rules r ON list_has_all(b.items, r.antecedent) AND NOT list_contains(b.items, r.consequent) GROUP BY items)
+  SELECT l_orderkey, coalesce(array_to_string(p, ','), '') AS prediction FROM f_baskets b LEFT JOIN said USING (items)""")
+def ml_fpgrowth_predict(t):
+    baskets = fx.baskets(t)
+    said = patterns.predictions(baskets, materialise(basket_rules(t, baskets), "basket-rules"))
+    return said.select("l_orderkey", F.array_join("prediction", ",").alias("prediction"))
 
 
 def labelled_documents(t):
@@ -543,6 +617,22 @@ def ml_eval_binary(t):
     return t.spark.createDataFrame([tuple(values)], "roc double, pr double").select(F.round("roc", 6).alias("roc"), F.round("pr", 6).alias("pr"))
 
 
+CURVE = """g AS (SELECT l_quantity AS threshold, count(*) FILTER (l_extendedprice > 40000) AS positives, count(*) FILTER (l_extendedprice <= 40000) AS negatives FROM lineitem GROUP BY 1),
+  c AS (SELECT *, sum(positives) OVER (ORDER BY threshold DESC) AS t, sum(negatives) OVER (ORDER BY threshold DESC) AS f, sum(positives) OVER () AS pp, sum(negatives) OVER () AS nn FROM g)"""
+
+
+@query(f"""WITH {CURVE} SELECT CAST(threshold AS DOUBLE) AS threshold, positives, negatives, CAST(t AS BIGINT) AS "true", CAST(f AS BIGINT) AS "false", round(t / pp, 8) AS recall,
+  round(f / nn, 8) AS fall_out, round(t / (t + f), 8) AS precision, round(2 * t / (t + f + pp), 8) AS f1 FROM c""")
+def ml_eval_curve(t):
+    curve = evaluation.binary_curve(scored_lines(t))
+    return curve.select("threshold", "positives", "negatives", "true", "false", *[F.round(c, 8).alias(c) for c in ("recall", "fall_out", "precision", "f1")])
+
+
+@query(f"""WITH {CURVE} SELECT CAST(arg_max(threshold, (round(2 * t / (t + f + pp), 12), threshold)) AS DOUBLE) AS threshold, round(max(2 * t / (t + f + pp)), 8) AS f FROM c""")
+def ml_eval_threshold(t):
+    return evaluation.best_threshold(evaluation.binary_curve(scored_lines(t))).withColumn("f", F.round("f", 8))
+
+
 @query("""SELECT round(avg(CAST((l_quantity > 30) = (l_extendedprice > 40000) AS INTEGER)), 6) AS accuracy FROM lineitem""")
 def ml_eval_multi(t):
     value = MulticlassClassificationEvaluator(metricName="accuracy").evaluate(scored_lines(t))

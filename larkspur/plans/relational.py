@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import contextlib
 import io
 
@@ -628,6 +630,22 @@ def smp_sample(t):
     return share.unionByName(exact)
 
 
+def draws_sql(key: str, fraction: float, seed: int) -> str:
+    chance, total, steps = math.exp(-fraction), 0.0, []
+    for k in range(200):
+        total += chance
+        steps.append(min(int(total * 2**32), 2**32))
+        if steps[-1] == 2**32 or total >= 1 - 2**-33:
+            break
+        chance *= fraction / (k + 1)
+    return f"len(list_filter({steps}, lambda s: s <= CAST(('0x' || substr(md5({key} || ':{seed}'), 1, 8)) AS BIGINT)))"
+
+
+@query(f"""SELECT o_orderkey, CAST(unnest(range(1, n + 1)) AS INTEGER) AS draw FROM (SELECT o_orderkey, {draws_sql('o_orderkey', 0.7, 3)} AS n FROM orders)""")
+def smp_with_replacement(t):
+    return sampling.poisson_sample(t.orders.select("o_orderkey"), F.col("o_orderkey"), 0.7, seed=3)
+
+
 @query()
 def smp_stratified(t):
     kept = t.events.sampleBy("event_type", {"view": 0.2, "click": 0.5, "purchase": 1.0}, seed=3)

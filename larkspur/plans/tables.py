@@ -12,7 +12,7 @@ from larkspur.functions import stages, udfs
 from larkspur.functions import vectors as vx
 from larkspur.operators import behaviour
 from larkspur.plans.registry import query
-from larkspur.session import spread, work_path
+from larkspur.session import materialise, spread, work_path
 from larkspur.sources import files, keyed
 
 STAMP = "yyyy-MM-dd HH:mm:ss"
@@ -170,6 +170,25 @@ def sink_partitioned(t):
     return back.groupBy("dt").agg(F.count("*").alias("n"), F.round(F.sum("value"), 3).alias("total"))
 
 
+@query("""SELECT dt, count(*) AS n, round(sum(value), 3) AS total FROM (
+    SELECT strftime(ts, '%Y-%m-%d') AS dt, value * CASE WHEN strftime(ts, '%Y-%m-%d') = '2024-01-05' AND event_id % 3 = 0 THEN 2 ELSE 1 END AS value FROM events
+    WHERE strftime(ts, '%Y-%m-%d') <> '2024-01-05' OR event_id % 3 = 0
+    UNION ALL SELECT strftime(ts, '%Y-%m-%d'), value FROM events WHERE event_id % 5 = 0 AND strftime(ts, '%Y-%m-%d') <> '2024-01-05') GROUP BY 1""")
+def sink_partitioned_table(t):
+    """Three rounds on a catalogued table: made with all rows, added to, and one day replaced."""
+    path = work_path(t.spark, "events-table")
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    daily = t.events.select("event_id", "value", F.date_format("ts", "yyyy-MM-dd").alias("dt"))
+    files.create_partitioned(daily, table, path, "dt")
+    files.append_partitioned(daily.filter("event_id % 5 = 0"), table, "dt")
+    one_day = daily.filter("dt = '2024-01-05' and event_id % 3 = 0").withColumn("value", F.col("value") * 2)
+    files.insert_partitions(one_day.select("dt", "value", "event_id"), table)
+    back = t.spark.table(table).groupBy("dt").agg(F.count("*").alias("n"), F.round(F.sum("value"), 3).alias("total"))
+    result = materialise(back, "events-table-totals")
+    t.spark.sql(f"DROP TABLE {table}")  # the catalogue entry; the files stay
+    return result
+
+
 @query("""SELECT user_id, article_id, strftime(action_time, '%Y-%m-%d %H:%M:%S') AS action_time, shared, clicked, collected,
   exposure, read_time FROM f_basic""")
 def sink_merge_overwrite(t):

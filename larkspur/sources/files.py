@@ -63,6 +63,22 @@ def overwrite_partitions(df: DataFrame, path: str, partition: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
 
+def create_partitioned(df: DataFrame, table: str, path: str, partition: str) -> None:
+    """A catalogued table over ``path``, one folder per value of ``partition``; what is there already is an error."""
+    df.write.mode("errorifexists").partitionBy(partition).option("path", path).format("parquet").saveAsTable(table)
+
+
+def append_partitioned(df: DataFrame, table: str, partition: str) -> None:
+    """Add rows by column name; partitions that are not there yet are made."""
+    df.write.mode("append").partitionBy(partition).format("parquet").saveAsTable(table)
+
+
+def insert_partitions(df: DataFrame, table: str) -> None:
+    """Put rows in place of those of the same partitions, by column position as INSERT does; other partitions stay."""
+    columns = df.sparkSession.table(table).columns
+    df.select(*columns).write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+
+
 def read_partition(spark: SparkSession, path: str, schema: T.StructType, partition: str, value) -> DataFrame:
     """One folder of a partitioned table; the filter prunes all others."""
     return spark.read.schema(schema).parquet(path).filter(F.col(partition) == value)
