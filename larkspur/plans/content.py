@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from larkspur import fixtures as fx
 from larkspur.functions import text as tx
+from larkspur.functions import vectors as vx
 from larkspur.operators import behaviour, sampling, similarity, text
 from larkspur.plans.registry import query
 from larkspur.session import materialise
@@ -177,9 +178,14 @@ def app_article_profile(t):
                           F.round(total, 5).alias("total"), F.array_join("topics", ",").alias("topics"))
 
 
-@query()
+@query("SELECT channel_id, word AS keyword, 100 AS width, true AS has_length FROM f_tokens GROUP BY 1, 2 HAVING count(*) >= 3")
 def app_word_vectors(t):
-    return word_vectors(t).select("channel_id", "keyword", F.size("vec").alias("width"), F.transform("vec", lambda x: F.round(x, 6)).alias("vec"))
+    return word_vectors(t).select("channel_id", "keyword", F.size("vec").alias("width"), (vx.norm(F.col("vec")) > 0).alias("has_length"))
+
+
+@query()
+def app_word_vector_values(t):
+    return word_vectors(t).select("channel_id", "keyword", F.transform("vec", lambda x: F.round(x, 6)).alias("vec"))
 
 
 def word_vectors(t):

@@ -19,9 +19,9 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import (
     DecisionTreeRegressor, GBTRegressor, GeneralizedLinearRegression, LinearRegression, RandomForestRegressor)
-from pyspark.ml.stat import ChiSquareTest
+from pyspark.ml.stat import ChiSquareTest, Summarizer
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkspur import fixtures as fx
@@ -53,10 +53,19 @@ def ts_nan_cov(t):
         "measurement", "i", "j", F.round("x.cov", 8).alias("cov"), F.col("x.n").alias("n"))
 
 
-@query()
+@query("""WITH x AS (SELECT measurement, vec_id, slot, val FROM f_series_long WHERE NOT isnan(val)),
+  one AS (SELECT measurement, slot, avg(val) AS m, avg(val * val) AS s FROM x GROUP BY 1, 2)
+  SELECT measurement, count(*) AS vectors, round(sum(s - m * m), 6) AS trace, true AS orthonormal, true AS falling FROM one GROUP BY 1""")
 def ts_pca(t):
-    eigen = series.components(series.nan_covariance(fx.series(t)))
-    return eigen.select("measurement", "rank", F.round("eigval", 8).alias("eigval"), F.size("vec").alias("width"))
+    """Per measurement: eigenvalues add up to the variances, vectors are orthonormal, values fall with the rank."""
+    eigen = materialise(series.components(series.nan_covariance(fx.series(t))), "eigenvectors")
+    a, b = eigen.select("measurement", "rank", "eigval", "vec"), eigen.select("measurement", F.col("rank").alias("other"), F.col("vec").alias("other_vec"), F.col("eigval").alias("other_val"))
+    pairs = a.join(b, "measurement")  # at most width x width pairs a measurement
+    unit = F.abs(vx.dot(F.col("vec"), F.col("other_vec")) - (F.col("rank") == F.col("other")).cast("double")) < 1e-6
+    falls = (F.col("rank") >= F.col("other")) | (F.col("eigval") >= F.col("other_val"))
+    checks = pairs.groupBy("measurement").agg(F.bool_and(unit).alias("orthonormal"), F.bool_and(falls).alias("falling"))
+    sums = eigen.groupBy("measurement").agg(F.count("*").alias("vectors"), F.round(F.sum("eigval"), 6).alias("trace"))
+    return sums.join(checks, "measurement")
 
 
 AXES = 2
@@ -135,10 +144,14 @@ def fe_bucketizer(t):
     return Bucketizer(splits=edges, inputCol="c_acctbal", outputCol="v", handleInvalid="keep").transform(t.customer).select("c_custkey", "v")
 
 
-@query()
+@query("SELECT CAST(unnest(range(4)) AS DOUBLE) AS bucket, true AS even, true AS apart")
 def fe_quantile_buckets(t):
+    """Four buckets, each a quarter of the rows within the allowed error, and none overlapping the next."""
     stage = QuantileDiscretizer(numBuckets=4, inputCol="o_totalprice", outputCol="bucket", relativeError=0.001)
-    return stage.fit(t.orders).transform(t.orders).groupBy("bucket").agg(F.count("*").alias("n"))
+    cut = stage.fit(t.orders).transform(t.orders).groupBy("bucket").agg(F.count("*").alias("n"), F.min("o_totalprice").alias("low"), F.max("o_totalprice").alias("high"))
+    whole = t.orders.select(F.count("*")).scalar()
+    following = F.lead("low").over(Window.partitionBy().orderBy("bucket"))  # four rows
+    return cut.select("bucket", (F.abs(F.col("n") / whole - 0.25) < 0.005).alias("even"), F.coalesce(F.col("high") < following, F.lit(True)).alias("apart"))
 
 
 CELLS = """long AS (SELECT u.feature, u.v, CAST(l_quantity * (1 - l_discount) > 24 AS INTEGER) AS label FROM lineitem,
@@ -195,11 +208,12 @@ def fe_normalizer(t):
     return slots(Normalizer(p=1.0, inputCol="vec", outputCol="out").transform(embedding_vectors(t)), "out")
 
 
-@query()
+@query("""WITH x AS (SELECT [l_quantity::DOUBLE, l_discount::DOUBLE, l_tax::DOUBLE, l_linenumber::DOUBLE] AS f FROM lineitem),
+  w AS (SELECT flatten([list_concat([f[j]], [f[i] * f[j] FOR i IN range(1, j + 1)]) FOR j IN range(1, 5)]) AS o FROM x)
+  SELECT CAST(u.slot - 1 AS INTEGER) AS slot, count(*) AS n, round(sum(u.v), 3) AS total FROM w, unnest(w.o) WITH ORDINALITY AS u(v, slot) GROUP BY 1""")
 def fe_poly(t):
-    data = line_samples(t).select(VECTOR_KEY, "features")
-    wide = PolynomialExpansion(degree=2, inputCol="features", outputCol="out").transform(data)
-    return wide.select(F.size(vector_to_array("out")).alias("width")).groupBy("width").agg(F.count("*").alias("n"))
+    wide = PolynomialExpansion(degree=2, inputCol="features", outputCol="out").transform(line_samples(t))
+    return wide.select(F.posexplode(vector_to_array("out")).alias("slot", "v")).groupBy("slot").agg(F.count("*").alias("n"), F.round(F.sum("v"), 3).alias("total"))
 
 
 VECTOR_KEY = "l_orderkey"
@@ -251,7 +265,7 @@ def fe_count_vectorizer(t):
     return named_slots(model.transform(words), "counts", model.vocabulary)
 
 
-@query()
+@query(f"SELECT p_partkey, CAST(count(*) AS DOUBLE) AS n_words, CAST(count(*) AS DOUBLE) AS total FROM {PART_WORDS} GROUP BY 1")
 def fe_hashing_tf(t):
     hashed = HashingTF(numFeatures=256, inputCol="w", outputCol="tf").transform(part_words(t))
     return hashed.select("p_partkey", F.size("w").cast("double").alias("n_words"), vx.total(vector_to_array("tf")).alias("total"))
@@ -294,12 +308,17 @@ def fe_onehot(t):
             .filter("n > 0"))
 
 
-@query()
+def ranked_sql(column: str, most: int) -> str:
+    """Place of a value among the column's values, zero first, where there are few; else the value."""
+    return f"""CASE WHEN (SELECT count(DISTINCT {column}) FROM lineitem) > {most} THEN CAST({column} AS DOUBLE) ELSE (
+      SELECT CAST(r AS DOUBLE) FROM (SELECT v, row_number() OVER (ORDER BY v = 0 DESC, v) - 1 AS r FROM (SELECT DISTINCT {column} AS v FROM lineitem)) k WHERE k.v = l.{column}) END"""
+
+
+@query("SELECT l_orderkey, l_linenumber, " + ", ".join(f"{ranked_sql(c, 12)} AS slot_{i}" for i, c in enumerate(("l_quantity", "l_discount", "l_tax", "l_linenumber"))) + " FROM lineitem l")
 def fe_vector_indexer(t):
     data = line_samples(t)
-    model = VectorIndexer(inputCol="features", outputCol="out", maxCategories=12).fit(data)
-    changed = model.transform(data).select(vector_to_array("out").alias("o"), vector_to_array("features").alias("f"))
-    return changed.agg(*[F.count_distinct(F.col("o")[i]).alias(f"slot_{i}") for i in range(4)])
+    out = VectorIndexer(inputCol="features", outputCol="out", maxCategories=12).fit(data).transform(data)
+    return out.select("l_orderkey", "l_linenumber", *[vector_to_array("out")[i].alias(f"slot_{i}") for i in range(4)])
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_quantity, array_to_string([CAST(CAST(l_quantity AS INTEGER) AS VARCHAR), CAST(l_linenumber AS VARCHAR), l_discount::DECIMAL(4,2)::VARCHAR], '|') AS v FROM lineitem""")
@@ -321,16 +340,33 @@ def fe_sql_transformer(t):
     return stage.transform(t.part)
 
 
-@query()
+@query("""WITH order_of AS (SELECT l_returnflag, row_number() OVER (ORDER BY count(*) DESC, l_returnflag) AS place, count(*) OVER () AS kinds FROM lineitem GROUP BY 1)
+  SELECT l_orderkey, l_linenumber, CAST(l_quantity AS DOUBLE) AS quantity, [CAST(place = k AS DOUBLE) FOR k IN range(1, kinds)] AS flags, CAST(l_extendedprice AS DOUBLE) AS y
+  FROM lineitem JOIN order_of USING (l_returnflag)""")
 def fe_rformula(t):
+    """Number and one-hot flags, the rarest flag as the base; the label as it is."""
     formula = RFormula(formula="l_extendedprice ~ l_quantity + l_returnflag", featuresCol="f", labelCol="y")
-    out = formula.fit(t.lineitem).transform(t.lineitem)
-    return out.select(F.size(vector_to_array("f")).alias("width"), "y").groupBy("width").agg(
-        F.count("*").alias("n"), F.round(F.avg("y"), 2).alias("mean"))
+    out = formula.fit(t.lineitem).transform(t.lineitem).withColumn("f", vector_to_array("f"))
+    return out.select("l_orderkey", "l_linenumber", F.col("f")[0].alias("quantity"), F.slice("f", 2, F.size("f") - 1).alias("flags"), F.col("y").cast("double").alias("y"))
 
 
-@query()
+@query(f"SELECT count(*) AS slots, round(sum(v), 5) AS variance, true AS shares_add_up, true AS falling FROM (SELECT slot, var_samp(x) AS v FROM {EMB} GROUP BY 1)")
 def fe_pca(t):
+    """All components: their variances add up to that of the slots, fall, and are the shares the model tells."""
+    data = embedding_vectors(t)
+    model = PCA(k=64, inputCol="vec", outputCol="out").fit(data)
+    shares = [float(x) for x in model.explainedVariance]
+    out = slots(model.transform(data), "out", digits=12).groupBy("slot").agg(F.var_samp("v").alias("v"))
+    told = t.spark.createDataFrame(list(enumerate(shares)), "slot int, share double")
+    whole = materialise(out, "component-variances")
+    total = whole.select(F.sum("v")).scalar()
+    both = whole.join(told, "slot").withColumn("before", F.lag("v").over(Window.partitionBy().orderBy("slot")))  # 64 rows
+    return both.agg(F.count("*").alias("slots"), F.round(F.sum("v"), 5).alias("variance"), F.bool_and(F.abs(F.col("v") / total - F.col("share")) < 1e-6).alias("shares_add_up"),
+                    F.bool_and(F.coalesce(F.col("before") >= F.col("v") - 1e-9, F.lit(True))).alias("falling"))
+
+
+@query()
+def fe_pca_values(t):
     data = embedding_vectors(t)
     model = PCA(k=3, inputCol="vec", outputCol="out").fit(data)
     return slots(model.transform(data), "out")
@@ -363,14 +399,14 @@ def ctr_scaled(t, variant):
     return features.ctr_pipeline(variant).fit(samples).transform(samples)
 
 
-@query()
+@query("SELECT variant, (SELECT count(*) FROM f_ctr) AS n, true AS one_width, true AS in_unit FROM (VALUES ('plain'), ('inner'), ('outer')) AS v(variant)")
 def fe_ctr_pipeline(t):
     parts = []
     for variant in ("plain", "inner", "outer"):
         v = vector_to_array("scaled")
         parts.append(ctr_scaled(t, variant).agg(
-            F.count("*").alias("n"), F.max(F.size(v)).alias("width"), F.min(F.array_min(v)).alias("low"),
-            F.max(F.array_max(v)).alias("high")).withColumn("variant", F.lit(variant)))
+            F.count("*").alias("n"), (F.min(F.size(v)) == F.max(F.size(v))).alias("one_width"),
+            ((F.min(F.array_min(v)) >= 0) & (F.max(F.array_max(v)) <= 1)).alias("in_unit")).withColumn("variant", F.lit(variant)))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
@@ -389,21 +425,37 @@ def halves(t):
     return data.filter("part = 'train'"), data.filter("part = 'test'")
 
 
-def confusion(estimator, t):
+UNSEEN = "lineitem WHERE CAST(('0x' || substr(md5(CAST(l_orderkey AS VARCHAR)), 1, 8)) AS BIGINT) >= 3006477107"
+CLASSES = f"""SELECT CAST(l_quantity * (1 - l_discount) > 24 AS DOUBLE) AS label, count(*) AS n, true AS accurate, true AS beats_majority FROM {UNSEEN} GROUP BY 1"""
+UNSEEN_ROWS = f"SELECT count(*) AS n, true AS close FROM {UNSEEN}"
+
+
+def judged(scored, least):
+    """Rows of each label, and whether the share of right answers reaches ``least`` and passes that of the commonest label."""
+    kept = materialise(scored.groupBy("label", "prediction").agg(F.count("*").alias("n")), "label-counts")
+    labels = kept.groupBy("label").agg(F.sum("n").alias("n"))
+    rows, most = labels.select(F.sum("n")).scalar(), labels.select(F.max("n")).scalar()
+    right = kept.select(F.coalesce(F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n"))), F.lit(0))).scalar()
+    return labels.select("label", "n", (right / rows >= least).alias("accurate"), (right > most).alias("beats_majority"))
+
+
+def classified(estimator, t, least):
     train, test = halves(t)
-    return estimator.fit(train).transform(test).groupBy("label", "prediction").agg(F.count("*").alias("n"))
+    return judged(estimator.fit(train).transform(test), least)
 
 
-def errors(estimator, t):
+def fitted(estimator, t, share):
+    """Unseen rows, and whether the error stays under ``share`` of the spread of the price."""
     train, test = halves(t)
-    scored = estimator.fit(train).transform(test)
     miss = F.col("prediction") - F.col("price")
-    return scored.agg(F.count("*").alias("n"), F.sqrt(F.avg(miss * miss)).alias("rmse"), F.stddev_pop("price").alias("spread"))
+    scored = estimator.fit(train).transform(test)
+    measured = scored.agg(F.count("*").alias("n"), F.sqrt(F.avg(miss * miss)).alias("rmse"), F.stddev_pop("price").alias("spread"))
+    return measured.select("n", (F.col("rmse") < share * F.col("spread")).alias("close"))
 
 
-@query()
+@query(CLASSES)
 def ml_logreg(t):
-    return confusion(LogisticRegression(maxIter=20, regParam=0.01, elasticNetParam=0.5), t)
+    return classified(LogisticRegression(maxIter=20, regParam=0.01, elasticNetParam=0.5), t, 0.95)
 
 
 @query()
@@ -436,82 +488,122 @@ def ml_linreg(t):
     return fitted.select(F.round("slope", 3).alias("slope"), F.round("intercept", 2).alias("intercept"))
 
 
-@query()
+@query(UNSEEN_ROWS)
 def ml_glm(t):
-    return errors(GeneralizedLinearRegression(family="gaussian", link="identity", labelCol="price", maxIter=10, regParam=0.1), t)
+    return fitted(GeneralizedLinearRegression(family="gaussian", link="identity", labelCol="price", maxIter=10, regParam=0.1), t, 0.1)
 
 
-@query()
+@query(CLASSES)
 def ml_tree_cls(t):
-    return confusion(DecisionTreeClassifier(maxDepth=5, impurity="gini", seed=1), t)
+    return classified(DecisionTreeClassifier(maxDepth=5, impurity="gini", seed=1), t, 0.95)
 
 
-@query()
+@query(UNSEEN_ROWS)
 def ml_tree_reg(t):
-    return errors(DecisionTreeRegressor(maxDepth=5, labelCol="price", varianceCol="variance", seed=1), t)
+    return fitted(DecisionTreeRegressor(maxDepth=5, labelCol="price", varianceCol="variance", seed=1), t, 0.2)
 
 
-@query()
+@query(CLASSES)
 def ml_rf_cls(t):
-    return confusion(RandomForestClassifier(numTrees=10, maxDepth=5, seed=1), t)
+    return classified(RandomForestClassifier(numTrees=10, maxDepth=5, seed=1), t, 0.9)
 
 
-@query()
+@query(UNSEEN_ROWS)
 def ml_rf_reg(t):
-    return errors(RandomForestRegressor(numTrees=10, maxDepth=5, labelCol="price", seed=1), t)
+    return fitted(RandomForestRegressor(numTrees=10, maxDepth=5, labelCol="price", seed=1), t, 0.3)
 
 
-@query()
+@query(CLASSES)
 def ml_gbt_cls(t):
-    return confusion(GBTClassifier(maxIter=5, maxDepth=4, featureSubsetStrategy="auto", seed=1), t)
+    return classified(GBTClassifier(maxIter=5, maxDepth=4, featureSubsetStrategy="auto", seed=1), t, 0.95)
 
 
-@query()
+@query(UNSEEN_ROWS)
 def ml_gbt_reg(t):
-    return errors(GBTRegressor(maxIter=5, maxDepth=4, labelCol="price", seed=1), t)
+    return fitted(GBTRegressor(maxIter=5, maxDepth=4, labelCol="price", seed=1), t, 0.2)
 
 
-@query()
+@query(f"""SELECT form, c.* FROM ({CLASSES}) c, (VALUES ('multinomial'), ('bernoulli')) AS f(form)""")
 def ml_naive_bayes(t):
-    return confusion(NaiveBayes(smoothing=1.0, modelType="multinomial"), t)
-
-
-@query()
+    """Counts and yes-or-no features: both forms over one-hot coded steps of quantity, discount, tax and line number."""
+    steps = {"q": F.floor(F.col("l_quantity") / 5), "d": F.round(F.col("l_discount") * 100), "x": F.round(F.col("l_tax") * 100), "l": F.col("l_linenumber")}
+    rows = t.lineitem.withColumns({c: v.cast("double") for c, v in steps.items()})
+    rows = rows.withColumn("label", (F.col("l_quantity") * (1 - F.col("l_discount")) > 24).cast("double")).select("l_orderkey", "label", *steps)
+    parts = materialise(sampling.hash_split(rows, F.col("l_orderkey"), 0.7), "bayes-rows")
+    flags = [OneHotEncoder(inputCols=list(steps), outputCols=[f"{c}_flags" for c in steps], dropLast=False, handleInvalid="keep"),
+             VectorAssembler(inputCols=[f"{c}_flags" for c in steps], outputCol="features")]
+    forms = []
+    for form in ("multinomial", "bernoulli"):
+        model = Pipeline(stages=[*flags, NaiveBayes(smoothing=1.0, modelType=form)]).fit(parts.filter("part = 'train'"))
+        forms.append(judged(model.transform(parts.filter("part = 'test'")), 0.85).withColumn("form", F.lit(form)))
+    return forms[0].unionByName(forms[1])
+
+
+@query(CLASSES)
 def ml_svc(t):
-    return confusion(LinearSVC(maxIter=10, regParam=0.01), t)
+    return classified(LinearSVC(maxIter=10, regParam=0.01), t, 0.9)
 
 
-@query()
+@query(CLASSES)
 def ml_mlp(t):
     scaled = MinMaxScaler(inputCol="features", outputCol="scaled")
     net = MultilayerPerceptronClassifier(layers=[4, 2, 2], featuresCol="scaled", blockSize=128, maxIter=30, stepSize=0.1, seed=1)
-    return confusion(Pipeline(stages=[scaled, net]), t)
+    return classified(Pipeline(stages=[scaled, net]), t, 0.95)
 
 
-@query()
+@query(CLASSES)
 def ml_fm(t):
     scaled = MinMaxScaler(inputCol="features", outputCol="scaled")
     machine = FMClassifier(featuresCol="scaled", factorSize=4, maxIter=30, stepSize=0.1, seed=1)
-    return confusion(Pipeline(stages=[scaled, machine]), t)
+    return classified(Pipeline(stages=[scaled, machine]), t, 0.9)
 
 
-@query()
+@query(CLASSES)
 def ml_gbt_lr(t):
-    return confusion(models.trees_then_logistic(trees=5, depth=3, rounds=10), t)
+    return classified(models.trees_then_logistic(trees=5, depth=3, rounds=10), t, 0.95)
 
 
-@query()
+@query("SELECT count(*) AS n, CAST(4 AS BIGINT) AS clusters, true AS all_nearest, true AS centres_are_means FROM embeddings")
 def ml_kmeans(t):
+    """Every row lies in the cluster of the nearest centre; centres are the means of their rows to the fit's tolerance."""
     data = embedding_vectors(t)
-    model = KMeans(k=4, seed=1, featuresCol="vec").fit(data)
-    return model.transform(data).groupBy("prediction").agg(F.count("*").alias("n"))
+    model = KMeans(k=4, seed=1, featuresCol="vec", maxIter=60).fit(data)
+    centres = [c.tolist() for c in model.clusterCenters()]
+    rows = materialise(model.transform(data).select("prediction", vector_to_array("vec").alias("v")), "clustered")
+    far = [vx.euclidean(F.col("v"), vx.literal(c)) for c in centres]
+    own = F.element_at(F.array(*far), F.col("prediction") + 1)
+    table = t.spark.createDataFrame([(i, c) for i, c in enumerate(centres)], "prediction int, centre array<double>")
+    means = rows.groupBy("prediction").agg(vector_to_array(Summarizer.mean(array_to_vector("v"))).alias("mean"))
+    shift = means.join(table, "prediction").select(F.max(vx.euclidean(F.col("mean"), F.col("centre")))).scalar()
+    return rows.agg(F.count("*").alias("n"), F.count_distinct("prediction").alias("clusters"), F.bool_and(own <= F.least(*far) + 1e-9).alias("all_nearest")).withColumn(
+        "centres_are_means", shift < 0.05)
 
 
 @query()
+def ml_kmeans_centres(t):
+    model = KMeans(k=4, seed=1, featuresCol="vec").fit(embedding_vectors(t))
+    table = t.spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(model.clusterCenters())], "cluster int, centre array<double>")
+    sizes = t.spark.createDataFrame(list(enumerate(model.summary.clusterSizes)), "cluster int, n long")
+    return table.join(sizes, "cluster").withColumn("cost", F.lit(model.summary.trainingCost))
+
+
+@query("SELECT count(*) AS n, true AS shares_add_up, true AS likeliest_first FROM lineitem")
 def ml_gmm(t):
+    """Each row's chances over the parts add up to one, and its part is the likeliest."""
     data = line_samples(t)
     model = GaussianMixture(k=2, seed=1, maxIter=10).fit(data)
-    return model.transform(data).groupBy("prediction").agg(F.count("*").alias("n"))
+    scored = model.transform(data).select("prediction", vector_to_array("probability").alias("p"))
+    return scored.agg(F.count("*").alias("n"), F.bool_and(F.abs(vx.total(F.col("p")) - 1) < 1e-6).alias("shares_add_up"),
+                      F.bool_and(F.element_at("p", F.col("prediction") + 1) >= F.array_max("p") - 1e-9).alias("likeliest_first"))
+
+
+@query()
+def ml_gmm_parts(t):
+    """Weight, mean and covariance of each part of the mixture."""
+    model = GaussianMixture(k=2, seed=1, maxIter=10).fit(line_samples(t))
+    parts = model.gaussiansDF.select(vector_to_array("mean").alias("mean"), F.col("cov").cast("string").alias("cov")).collect()  # one row a part
+    return t.spark.createDataFrame([(i, float(w), list(p["mean"]), p["cov"]) for i, (w, p) in enumerate(zip(model.weights, parts))],
+                                   "part int, weight double, mean array<double>, cov string")
 
 
 @query()
@@ -570,25 +662,26 @@ def labelled_documents(t):
     return t.documents.select("doc_id", "text").join(labels, "doc_id")
 
 
-@query()
+@query("""SELECT CAST(quality AS DOUBLE) AS label, count(*) AS n, true AS accurate, true AS beats_majority FROM documents JOIN labels USING (doc_id)
+  WHERE CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8)) AS BIGINT) >= 3006477107 GROUP BY 1""")
 def ml_text_classifier(t):
     data = sampling.hash_split(labelled_documents(t), F.col("doc_id"), 0.7)
     model = models.text_classifier().fit(data.filter("part = 'train'"))
-    scored = model.transform(data.filter("part = 'test'"))
-    return scored.groupBy("label", "prediction").agg(F.count("*").alias("n"))
+    return judged(model.transform(data.filter("part = 'test'")), 0.8)
 
 
-@query()
+@query("SELECT true AS same, true AS any_rows")
 def ml_pipeline_io(t):
     train, test = halves(t)
     model = Pipeline(stages=[StandardScaler(inputCol="features", outputCol="scaled"), LogisticRegression(featuresCol="scaled", maxIter=5)]).fit(train)
     again = models.reload(model, work_path(t.spark, "pipeline"))
-    a = model.transform(test).groupBy("prediction").agg(F.count("*").alias("saved"))
-    b = again.transform(test).groupBy("prediction").agg(F.count("*").alias("loaded"))
-    return a.join(b, "prediction", "full")
+    key = ["l_orderkey", "l_linenumber"]
+    a, b = (m.transform(test).groupBy(*key, "prediction").agg(F.count("*").alias(name)) for m, name in ((model, "saved"), (again, "loaded")))
+    both = a.join(b, [*key, "prediction"], "full")
+    return both.agg(F.bool_and(F.col("saved").eqNullSafe(F.col("loaded"))).alias("same"), (F.count("*") > 0).alias("any_rows"))
 
 
-@query()
+@query("SELECT depth, true AS above_chance, true AS chosen_is_best FROM (VALUES (2), (4)) AS d(depth)")
 def ml_cross_validate(t):
     train, _ = halves(t)
     tree = DecisionTreeClassifier(seed=1)
@@ -597,7 +690,9 @@ def ml_cross_validate(t):
                            parallelism=2, seed=1).fit(train)
     best = max(found.avgMetrics)
     rows = [(int(params[tree.maxDepth]), float(m), bool(m == best)) for params, m in zip(grid, found.avgMetrics)]
-    return t.spark.createDataFrame(rows, "depth int, auc double, chosen boolean")
+    table = t.spark.createDataFrame(rows, "depth int, auc double, chosen boolean")
+    deepest = found.bestModel.getOrDefault("maxDepth")
+    return table.select("depth", (F.col("auc") > 0.5).alias("above_chance"), (F.col("chosen") == (F.col("depth") == deepest)).alias("chosen_is_best"))
 
 
 def scored_lines(t):
@@ -659,8 +754,18 @@ def ml_eval_cluster(t):
     return t.spark.createDataFrame([(float(value),)], "silhouette double")
 
 
-@query()
+@query("""SELECT model, true AS roc_in_unit, true AS pr_in_unit FROM (VALUES ('logistic'), ('forest'), ('boosted'), ('bayes'), ('factorisation'), ('network')) AS m(model)""")
 def ml_model_compare(t):
+    areas = model_areas(t)
+    return areas.select("model", F.col("roc").between(0, 1).alias("roc_in_unit"), F.col("pr").between(0, 1).alias("pr_in_unit"))
+
+
+@query()
+def ml_model_areas(t):
+    return model_areas(t)
+
+
+def model_areas(t):
     scaled = materialise(ctr_scaled(t, "inner").select("vec_id", F.col("label").cast("double").alias("label"), "scaled"), "ctr-scaled")
     parts = sampling.hash_split(scaled, F.col("vec_id"), 0.7)
     width = len(scaled.select("scaled").first()[0])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from larkspur import fixtures as fx
@@ -278,12 +279,17 @@ def app_rating_matrix(t):
     return wide.withColumnsRenamed({str(c): f"c{c}" for c in range(20)})
 
 
-@query()
+@query("SELECT count(*) AS n, true AS under_spread, true AS loaded_is_same FROM f_ratings")
 def app_als_explicit(t):
+    """Rated pairs, whether the fit errs less than the mean would, and whether the saved model says the same."""
     rated = fx.ratings(t)
     model = ratings.fit_als(rated)
-    scored = model.transform(rated)
-    return scored.agg(F.count("*").alias("n"), F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("rating"), 2))).alias("rmse"))
+    path = work_path(t.spark, "factor-model")
+    model.save(path)
+    again = ratings.Factors.load(t.spark, path).transform(rated.select("user_id", "movie_id")).withColumnRenamed("prediction", "loaded")
+    scored = model.transform(rated).join(again, ["user_id", "movie_id"])
+    rmse = F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("rating"), 2)))
+    return scored.agg(F.count("*").alias("n"), (rmse < F.stddev_pop("rating")).alias("under_spread"), F.bool_and(F.col("prediction") == F.col("loaded")).alias("loaded_is_same"))
 
 
 @query()
@@ -408,8 +414,26 @@ def app_matrix_sparsity(t):
         "q90": counts.select(F.percentile("n", F.lit(0.9))).scalar()})
 
 
-@query()
+@query("""SELECT factors, reg, true AS chosen_is_least FROM (VALUES (4), (8)) AS f(factors), (VALUES (0.05::DOUBLE), (0.2::DOUBLE)) AS r(reg)""")
 def app_als_grid(t):
+    tried = als_trials(t)
+    least = F.min("rmse").over(Window.partitionBy())  # a row for each pair of settings
+    return tried.withColumn("least", least).select("factors", "reg", (F.col("chosen") == (F.col("rmse") == F.col("least"))).alias("chosen_is_least"))
+
+
+@query()
+def app_als_errors(t):
+    return als_trials(t)
+
+
+@query()
+def app_als_curve(t):
+    """Error after 1, 2, 5 and 10 rounds, on what was fitted and on what was held back."""
+    parts = materialise(sampling.hash_split(fx.ratings(t), F.concat_ws("-", "user_id", "movie_id"), 0.8), "ratings-split")
+    return ratings.learning_curve(parts.filter("part = 'train'"), parts.filter("part = 'test'"), [1, 2, 5, 10])
+
+
+def als_trials(t):
     parts = materialise(sampling.hash_split(fx.ratings(t), F.concat_ws("-", "user_id", "movie_id"), 0.8), "ratings-split")
     return ratings.als_grid(parts.filter("part = 'train'"), parts.filter("part = 'test'"), ranks=[4, 8], regs=[0.05, 0.2], rounds=3)
 

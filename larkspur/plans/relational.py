@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import math
-
 import contextlib
 import io
+import math
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -63,10 +63,12 @@ def prj_map_rows(t):
             .groupBy("doc_id", "letters").agg(F.count("*").alias("n")))
 
 
-@query()
+@query("SELECT count(*) AS n, count(DISTINCT l_orderkey) AS keys, true AS one_place_a_key, true AS in_range FROM lineitem")
 def prj_partition_id(t):
-    spread = t.lineitem.repartition(8, "l_orderkey").withColumn("partition_no", F.spark_partition_id())
-    return spread.groupBy("partition_no").agg(F.count("*").alias("n"))
+    spread = t.lineitem.repartition(8, "l_orderkey").select("l_orderkey", F.spark_partition_id().alias("partition_no"))
+    keys = spread.groupBy("l_orderkey").agg(F.count("*").alias("n"), F.min("partition_no").alias("low"), F.max("partition_no").alias("high"))
+    return keys.agg(F.sum("n").alias("n"), F.count("*").alias("keys"), F.bool_and(F.col("low") == F.col("high")).alias("one_place_a_key"),
+                    F.bool_and(F.col("high").between(0, 7)).alias("in_range"))
 
 
 @query("SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS idx FROM orders")
@@ -197,11 +199,14 @@ def cln_impute(t):
     return done.select("o_orderkey", F.round("o_totalprice_filled", 4).alias("filled"))
 
 
-@query()
+@query("SELECT user_id, coalesce(pvalue_level, 0) AS known, true AS in_range FROM f_shop_users")
 def cln_impute_model(t):
     filled = cleaning.impute_by_model(
         fx.shop_users(t), "pvalue_level", ["cms_group", "gender", "age_level", "shopping_level", "occupation"])
-    return filled.select("user_id", "pvalue_level")
+    before = fx.shop_users(t).select("user_id", F.col("pvalue_level").alias("given"))
+    both = filled.select("user_id", "pvalue_level").join(before, "user_id")
+    known = F.when(F.col("given").isNull(), 0).otherwise(F.col("pvalue_level").cast("int"))  # what was known stays as it was
+    return both.select("user_id", known.alias("known"), F.coalesce(F.col("pvalue_level").isin(1, 2, 3), F.lit(False)).alias("in_range"))
 
 
 @query("""SELECT category, CAST(row_number() OVER (ORDER BY n DESC, category) - 1 AS DOUBLE) AS idx, n FROM (
@@ -399,10 +404,10 @@ def agg_distinct(t):
                           F.count_distinct("l_partkey", "l_suppkey").alias("pairs")).withColumn("flags", flags)
 
 
-@query()
+@query("SELECT count(DISTINCT l_partkey) AS exact, true AS near FROM lineitem")
 def agg_approx_distinct(t):
-    return t.lineitem.agg(F.approx_count_distinct("l_partkey", 0.03).alias("approximate"),
-                          F.count_distinct("l_partkey").alias("exact"))
+    counts = t.lineitem.agg(F.approx_count_distinct("l_partkey", 0.03).alias("about"), F.count_distinct("l_partkey").alias("exact"))
+    return counts.select("exact", (F.abs(F.col("about") - F.col("exact")) <= 0.12 * F.col("exact")).alias("near"))  # four standard errors
 
 
 @query("""SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (
@@ -425,10 +430,12 @@ def agg_crosstab(t):
     return t.lineitem.groupBy(F.col("l_returnflag").alias("a"), F.col("l_linestatus").alias("b")).agg(F.count("*").alias("n"))
 
 
-@query()
+@query("SELECT event_type, count(*) AS n, true AS found FROM events GROUP BY 1 HAVING count(*) >= 0.1 * (SELECT count(*) FROM events)")
 def agg_freq_items(t):
-    return t.events.freqItems(["user_id", "event_type"], 0.1).select(
-        F.array_sort("user_id_freqItems").alias("users"), F.array_sort("event_type_freqItems").alias("types"))
+    """Every value of at least a tenth of the rows is among the items found, which may hold rarer ones too."""
+    found = t.events.freqItems(["event_type"], 0.1).select(F.explode("event_type_freqItems").alias("event_type"), F.lit(True).alias("found"))
+    counts = t.events.groupBy("event_type").agg(F.count("*").alias("n")).where(F.col("n") >= 0.1 * t.events.select(F.count("*")).scalar())
+    return counts.join(found, "event_type", "left").select("event_type", "n", F.coalesce("found", F.lit(False)).alias("found"))
 
 
 @query("""SELECT l_returnflag, l_linestatus, grouping(l_returnflag) AS g_flag,
@@ -491,9 +498,10 @@ def agg_histogram(t):
     return ag.histogram(t.lineitem, "l_quantity", 1.0, 50.0, 7)
 
 
-@query()
+@query("SELECT count(*) AS exact, true AS near FROM lineitem")
 def agg_approx_count(t):
-    return ag.approximate_count(t.lineitem, 0.1, seed=5)
+    counts = ag.approximate_count(t.lineitem, 0.1, seed=5)
+    return counts.select("exact", (F.abs(F.col("approximate") - F.col("exact")) <= 5 * F.sqrt(9 * F.col("exact"))).alias("near"))
 
 
 @query(f"""SELECT word, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '{tx.WORD}')) AS word
@@ -596,10 +604,16 @@ def ord_sort(t):
     return placed.orderBy(F.desc("o_totalprice"), F.asc("o_orderkey"))
 
 
-@query()
+@query("SELECT o_custkey, o_orderkey, true AS rises, true AS one_place FROM orders")
 def ord_within(t):
-    return (t.orders.select("o_custkey", "o_orderkey").repartition(8, "o_custkey")
-            .sortWithinPartitions("o_custkey", "o_orderkey").withColumn("partition_no", F.spark_partition_id()))
+    """Order inside a partition, shown by each row's place there: it rises with the keys, and a key has one partition."""
+    placed = (t.orders.select("o_custkey", "o_orderkey").repartition(8, "o_custkey").sortWithinPartitions("o_custkey", "o_orderkey")
+              .withColumn("place", F.monotonically_increasing_id()))
+    placed = materialise(placed, "sorted-within")
+    ends = placed.groupBy("o_custkey").agg(F.min(F.shiftright("place", 33)).alias("low"), F.max(F.shiftright("place", 33)).alias("high"))
+    before = F.lag("place").over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))
+    rises = placed.withColumn("rises", F.coalesce(before < F.col("place"), F.lit(True)))
+    return rises.join(ends, "o_custkey").select("o_custkey", "o_orderkey", "rises", (F.col("low") == F.col("high")).alias("one_place"))
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 10")
@@ -646,10 +660,16 @@ def smp_with_replacement(t):
     return sampling.poisson_sample(t.orders.select("o_orderkey"), F.col("o_orderkey"), 0.7, seed=3)
 
 
-@query()
+@query("""SELECT event_type, count(*) AS n, CASE WHEN event_type IN ('view', 'click', 'purchase') THEN true ELSE false END AS kept, true AS share_right
+  FROM events GROUP BY 1""")
 def smp_stratified(t):
-    kept = t.events.sampleBy("event_type", {"view": 0.2, "click": 0.5, "purchase": 1.0}, seed=3)
-    return kept.groupBy("event_type").agg(F.count("*").alias("n"))
+    """Each kind's rows, whether any are kept, and whether the share is that asked for, within five standard errors."""
+    shares = {"view": 0.2, "click": 0.5, "purchase": 1.0}
+    drawn = t.events.sampleBy("event_type", shares, seed=3).groupBy("event_type").agg(F.count("*").alias("k"))
+    wanted = F.coalesce(F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])[F.col("event_type")], F.lit(0.0))
+    whole = t.events.groupBy("event_type").agg(F.count("*").alias("n")).join(drawn, "event_type", "left").withColumns({"k": F.coalesce("k", F.lit(0)), "p": wanted})
+    near = F.abs(F.col("k") - F.col("n") * F.col("p")) <= 5 * F.sqrt(F.col("n") * F.col("p") * (1 - F.col("p")))
+    return whole.select("event_type", "n", (F.col("k") > 0).alias("kept"), near.alias("share_right"))
 
 
 @query(f"""SELECT o_orderkey, CASE WHEN {HASH.format('CAST(o_orderkey AS VARCHAR)')} < 3435973836 THEN 'train' ELSE 'test' END
@@ -675,15 +695,15 @@ def smp_negative(t):
     return placed.filter(F.col("place") <= F.col("quota")).select("user_id", "item_id")
 
 
-@query()
+@query("SELECT o_orderkey % 10 AS digit, count(*) AS n, CAST(1 AS BIGINT) AS places FROM orders GROUP BY 1")
 def par_repartition(t):
     last_digit = F.pmod("o_orderkey", F.lit(10))
     spread = t.orders.select("o_orderkey", last_digit.alias("digit")).repartition(10, "digit")
     return (spread.withColumn("partition_no", F.spark_partition_id())
-            .groupBy("digit", "partition_no").agg(F.count("*").alias("n")))
+            .groupBy("digit").agg(F.count("*").alias("n"), F.count_distinct("partition_no").alias("places")))
 
 
-@query()
+@query("""SELECT count(*) AS n, round(sum(l_extendedprice), 1) AS total, 'Disk Memory Serialized 1x Replicated' AS level FROM lineitem WHERE l_quantity > 25""")
 def par_cache(t):
     lines = t.lineitem.filter("l_quantity > 25").select("l_orderkey", "l_extendedprice")
     lines.persist(StorageLevel.MEMORY_AND_DISK)
@@ -696,7 +716,7 @@ def par_cache(t):
         lines.unpersist()
 
 
-@query()
+@query("SELECT count(*) AS n, true AS filter_pushed FROM lineitem WHERE l_quantity > 45")
 def par_explain(t):
     filtered = t.lineitem.filter("l_quantity > 45").select("l_orderkey", "l_quantity")
     shown = io.StringIO()

@@ -36,7 +36,6 @@ ROW_WISE = [
      "c_name || '/' || c_mktsegment"),
     ("concat_ws", "customer", "c_custkey", lambda: F.concat_ws("-", "c_name", "c_mktsegment"),
      "concat_ws('-', c_name, c_mktsegment)"),
-    ("crc32", "customer", "c_custkey", lambda: F.crc32("c_name"), None),
     ("decode", "documents", "doc_id", lambda: F.md5(F.decode(F.encode("text", "UTF-8"), "UTF-8")), "md5(text)"),
     ("format_number", "orders", "o_orderkey", lambda: F.format_number("o_totalprice", 2),
      "format('{:,.2f}', o_totalprice)"),
@@ -57,7 +56,6 @@ ROW_WISE = [
     ("regexp_replace", "customer", "c_custkey", lambda: F.regexp_replace("c_name", "0+", "-"),
      "regexp_replace(c_name, '0+', '-', 'g')"),
     ("repeat", "part", "p_partkey", lambda: F.repeat("p_name", 2), "repeat(p_name, 2)"),
-    ("soundex", "part", "p_partkey", lambda: F.soundex("p_name"), None),
     ("split", "part", "p_partkey", lambda: F.array_join(F.split("p_name", "[ e]"), "|"),
      "array_to_string(regexp_split_to_array(p_name, '[ e]'), '|')"),
     ("substring", "part", "p_partkey", lambda: F.substring("p_name", 2, 4), "substring(p_name, 2, 4)"),
@@ -189,6 +187,33 @@ ROW_WISE = [
 ]
 
 
+# Checksum by its definition: eight shifts for each byte, over the distinct names.
+CRC = """WITH RECURSIVE crc(name, step, c) AS (SELECT DISTINCT c_name, 0, 4294967295::BIGINT FROM customer UNION ALL
+    SELECT name, step + 1, CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END FROM (
+      SELECT name, step, CASE WHEN step % 8 = 0 THEN xor(c, ascii(substr(name, step // 8 + 1, 1))::BIGINT) ELSE c END AS x FROM crc WHERE step < 8 * length(name)))
+  SELECT c_custkey, xor(c, 4294967295) AS v FROM customer JOIN crc ON name = c_name AND step = 8 * length(c_name)"""
+
+
+@query(CRC)
+def fn_crc32(t):
+    return t.customer.select("c_custkey", F.crc32("c_name").alias("v"))
+
+
+# Sound code by its definition: code of each letter, h and w passed over, equal neighbours once, vowels out, three digits.
+SOUND = """WITH names AS (SELECT DISTINCT p_name, upper(p_name) AS n FROM part),
+  letters AS (SELECT p_name, i, n[i] AS ch, CASE WHEN n[i] IN ('B', 'F', 'P', 'V') THEN '1' WHEN n[i] IN ('C', 'G', 'J', 'K', 'Q', 'S', 'X', 'Z') THEN '2'
+      WHEN n[i] IN ('D', 'T') THEN '3' WHEN n[i] = 'L' THEN '4' WHEN n[i] IN ('M', 'N') THEN '5' WHEN n[i] = 'R' THEN '6' WHEN n[i] IN ('H', 'W') THEN 'hw' ELSE '0' END AS code
+    FROM (SELECT p_name, n, unnest(range(1, length(n) + 1)) AS i FROM names)),
+  parted AS (SELECT *, lag(code) OVER (PARTITION BY p_name ORDER BY i) AS last FROM letters WHERE code <> 'hw' OR i = 1),
+  kept AS (SELECT p_name, string_agg(code, '' ORDER BY i) AS digits FROM parted WHERE i > 1 AND code <> '0' AND code IS DISTINCT FROM last GROUP BY 1)
+  SELECT p_partkey, upper(p_name[1]) || rpad(coalesce(digits, '')[1:3], 3, '0') AS v FROM part LEFT JOIN kept USING (p_name)"""
+
+
+@query(SOUND)
+def fn_soundex(t):
+    return t.part.select("p_partkey", F.soundex("p_name").alias("v"))
+
+
 def _dot():
     from larkspur.functions import vectors as vx
 
@@ -209,12 +234,12 @@ def fn_isnan(t):
     return fx.dirty_orders(t).select("o_orderkey", F.isnan("o_totalprice").alias("v"))
 
 
-@query()
+@query("SELECT event_type, count(*) AS n FROM events WHERE CAST(ts AS DATE) <= current_date GROUP BY 1")
 def fn_current_date(t):
     return t.events.filter(F.to_date("ts") <= F.current_date()).groupBy("event_type").agg(F.count("*").alias("n"))
 
 
-@query()
+@query("SELECT event_type, count(*) AS n FROM events WHERE ts <= CAST(now() AS TIMESTAMP) GROUP BY 1")
 def fn_current_timestamp(t):
     now = F.current_timestamp().cast("timestamp_ntz")
     return t.events.filter(F.col("ts") <= now).groupBy("event_type").agg(F.count("*").alias("n"))
@@ -268,10 +293,10 @@ def fn_explode_map(t):
 
 # aggregates ---------------------------------------------------------------
 
-@query()
+@query("SELECT count(DISTINCT o_custkey) AS exact, true AS near FROM orders")
 def fn_approxCountDistinct(t):
-    return t.orders.agg(F.approx_count_distinct("o_custkey", 0.05).alias("approximate"),
-                        F.count_distinct("o_custkey").alias("exact"))
+    counts = t.orders.agg(F.approx_count_distinct("o_custkey", 0.05).alias("about"), F.count_distinct("o_custkey").alias("exact"))
+    return counts.select("exact", (F.abs(F.col("about") - F.col("exact")) <= 0.2 * F.col("exact")).alias("near"))  # four standard errors
 
 
 @query("""SELECT l_orderkey, array_to_string(list_sort(list(l_linenumber)), ',') AS v FROM lineitem GROUP BY 1""")
@@ -355,19 +380,23 @@ def fn_broadcast(t):
             .select("c_custkey", "n_name"))
 
 
-@query()
+@query("SELECT 'orders.parquet' AS file, count(*) AS n FROM orders")
 def fn_input_file_name(t):
-    file = F.element_at(F.split(F.input_file_name(), "/"), -1)
+    # The table's own part of the path: it may be one file or a folder of files.
+    file = F.regexp_extract(F.input_file_name(), "([^/]+[.]parquet)", 1)
     return t.orders.select(file.alias("file")).groupBy("file").agg(F.count("*").alias("n"))
 
 
-@query()
+@query("SELECT count(*) AS n, true AS in_unit, true AS middle, true AS all_different FROM orders")
 def fn_rand(t):
     drawn = t.orders.select(F.rand(seed=11).alias("x"))
-    return drawn.agg(F.min("x").alias("low"), F.max("x").alias("high"), F.avg("x").alias("mean"))
+    measured = drawn.agg(F.count("*").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"), F.avg("x").alias("mean"), F.count_distinct("x").alias("k"))
+    return measured.select("n", ((F.col("low") >= 0) & (F.col("high") < 1)).alias("in_unit"),
+                           (F.abs(F.col("mean") - 0.5) <= 5 * F.sqrt(1 / (12 * F.col("n")))).alias("middle"), (F.col("k") == F.col("n")).alias("all_different"))
 
 
-@query()
+@query("SELECT count(*) AS n, true AS mean_near_0, true AS sd_near_1 FROM orders")
 def fn_randn(t):
     drawn = t.orders.select(F.randn(seed=11).alias("x"))
-    return drawn.agg(F.avg("x").alias("mean"), F.stddev_samp("x").alias("sd"))
+    measured = drawn.agg(F.count("*").alias("n"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("sd"))
+    return measured.select("n", (F.abs("mean") <= 5 / F.sqrt("n")).alias("mean_near_0"), (F.abs(F.col("sd") - 1) <= 5 / F.sqrt(2 * F.col("n"))).alias("sd_near_1"))

@@ -59,10 +59,22 @@ def str_hot_items(t):
     return jobs.hot_items(log_stream(t))
 
 
-@query()
+def windows_sql(width: int, step: int) -> str:
+    """Counts by window of ``width`` and ``step`` minutes, those that end two hours or more before the last row."""
+    return f"""WITH uses AS (SELECT * FROM f_actions_log WHERE action NOT IN ('exposure', 'read')),
+  spread AS (SELECT channel_id, item, time_bucket(INTERVAL {step} MINUTE, action_time, TIMESTAMP '1970-01-01') - k * INTERVAL {step} MINUTE AS start FROM uses, range({width // step}) AS r(k))
+  SELECT '{width}/{step}' AS form, strftime(start, '%Y-%m-%d %H:%M:%S') AS start, channel_id, item AS item_id, count(*) AS uses FROM spread
+  WHERE start + INTERVAL {width} MINUTE <= (SELECT max(action_time) FROM uses) - INTERVAL 2 HOUR GROUP BY start, channel_id, item"""
+
+
+@query(f"SELECT * FROM ({windows_sql(60, 15)}) UNION ALL SELECT * FROM ({windows_sql(60, 60)})")
 def str_hot_windowed(t):
-    counts = jobs.hot_items_by_window(log_stream(t))
-    return counts.select(F.date_format("start", STAMP).alias("start"), "channel_id", "item_id", "uses")
+    """Sliding and tumbling windows; only those that the watermark has closed."""
+    forms = []
+    for width, step in ((60, 15), (60, 60)):
+        counts = jobs.hot_items_by_window(log_stream(t), width=f"{width} minutes", step=f"{step} minutes")
+        forms.append(counts.select(F.lit(f"{width}/{step}").alias("form"), F.date_format("start", STAMP).alias("start"), "channel_id", "item_id", "uses"))
+    return forms[0].unionByName(forms[1])
 
 
 @query("""SELECT channel_id, item AS item_id, strftime(max(action_time), '%Y-%m-%d %H:%M:%S') AS ts FROM f_actions_log GROUP BY 1, 2""")

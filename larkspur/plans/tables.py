@@ -268,11 +268,12 @@ def udf_pandas_grouped(t):
     return scored.select("event_id", F.round("z", 6).alias("z"))
 
 
-@query()
+@query("SELECT count(*) AS n, true AS in_unit, true AS differ FROM events")
 def udf_nondeterministic(t):
     noisy = udfs.with_noise(t.events.select("event_id", "value"), "value", seed=1)
-    return noisy.agg(F.count("*").alias("n"), F.min(F.col("value_noisy") - F.col("value")).alias("low"),
-                     F.max(F.col("value_noisy") - F.col("value")).alias("high"))
+    noise = noisy.select((F.col("value_noisy") - F.col("value")).alias("x"))
+    return noise.agg(F.count("*").alias("n"), F.bool_and(F.col("x").between(-1e-6, 1 + 1e-6)).alias("in_unit"),
+                     (F.max("x") - F.min("x") > 0.5).alias("differ"))
 
 
 @query("SELECT event_id, article_id AS item FROM f_basic_rows")
@@ -283,7 +284,7 @@ def udf_explode_table(t):
         LATERAL larkspur_split_items(a.article_text) s""")
 
 
-@query()
+@query("SELECT vec_id, round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 4) AS total FROM embeddings")
 def udf_transformer(t):
     path = work_path(t.spark, "rename-pipeline")
     text = t.embeddings.select("vec_id", F.to_json("embedding").alias("json"))
@@ -295,11 +296,11 @@ def udf_transformer(t):
     return back.select("vec_id", F.round(vx.total(vector_to_array("features")), 4).alias("total"))
 
 
-@query()
+@query("SELECT count(*) AS rows_sent, true AS all_batches_named FROM orders")
 def udf_side_effect_partition(t):
     class CountingClient:
         def send(self, batch_key, rows):
             return len(rows)
 
     sent = udfs.send_batches(t.orders.select("o_orderkey", "o_totalprice"), CountingClient, "o_orderkey")
-    return sent.agg(F.sum("sent").alias("rows_sent"), F.count_distinct("batch_key").alias("batches"))
+    return sent.agg(F.sum("sent").alias("rows_sent"), (F.count_distinct("batch_key") == F.count("*")).alias("all_batches_named"))

@@ -15,7 +15,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from larkspur.operators import windows
 from larkspur.operators.sampling import hash_number
@@ -201,37 +200,59 @@ def deduplicated(log: DataFrame, key: str, delay: str = "1 day", **where) -> Dat
     return to_table(once, "deduplicated", **where).drop("batch_id")
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _last_actions_processor(n: int, idle_ms: int):
+    """A state processor that keeps the newest ``n`` (micros, event_id) of a key and forgets the key after an idle time."""
+    import pandas as pd
+    from pyspark.sql.streaming.stateful_processor import StatefulProcessor
+
+    class LastActions(StatefulProcessor):
+        def init(self, handle):
+            self.handle = handle
+            self.newest = handle.getListState("newest", "micros long, event_id long")
+
+        def handleInputRows(self, key, rows, timerValues):
+            held = {tuple(r) for r in self.newest.get()} if self.newest.exists() else set()
+            for pdf in rows:
+                held |= set(zip(pdf["micros"].tolist(), pdf["event_id"].tolist()))
+                held = set(sorted(held)[-n:])
+            kept = sorted(held)
+            self.newest.put(kept)
+            # One timer a key: that of the newest row; an earlier one would end the key too soon.
+            for due in list(self.handle.listTimers()):
+                self.handle.deleteTimer(due)
+            now = timerValues.getCurrentWatermarkInMs()
+            self.handle.registerTimer(max(kept[-1][0] // 1000, now) + idle_ms)
+            yield pd.DataFrame({"user_id": [key[0]], "salt": [key[1]], "micros": [[m for m, _ in kept]], "ids": [[i for _, i in kept]]})
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            self.newest.clear()
+            return iter([])
+
+        def close(self):
+            pass
+
+    return LastActions()
+
+
 def last_actions(log: DataFrame, n: int, salts: int = 4, delay: str = "1 day", idle_ms: int = 86_400_000, **where) -> DataFrame:
-    """Last ``n`` events per user, kept as state and dropped after an idle time.
+    """Last ``n`` events per user, kept as list state and dropped by a timer after an idle time.
 
     A user's rows spread over ``salts`` states; the last ``n`` of their union
     are the last ``n`` of the user.  The lists of all batches are read
     together, so events from before an idle time still count.  A repeated
-    event counts once.
+    event counts once.  Needs the RocksDB state store, which is set while the
+    job runs.
     """
-
-    def keep(key, batches, state):
-        import pandas as pd
-
-        if state.hasTimedOut:
-            state.remove()
-            return
-        stored = state.get if state.exists else ([], [])
-        held = list(zip(stored[0], stored[1]))
-        for pdf in batches:
-            held += list(zip(pdf["micros"].tolist(), pdf["event_id"].tolist()))
-            held = sorted(set(held))[-n:]
-        state.update(([h[0] for h in held], [h[1] for h in held]))
-        newest = held[-1][0] // 1000
-        state.setTimeoutTimestamp(max(newest, state.getCurrentWatermarkMs()) + idle_ms)
-        yield pd.DataFrame({"user_id": [key[0]], "salt": [key[1]], "micros": [[h[0] for h in held]], "ids": [[h[1] for h in held]]})
-
+    spark = log.sparkSession
     keyed = log.withWatermark("action_time", delay).select(
         "user_id", F.pmod(F.xxhash64("event_id"), F.lit(salts)).alias("salt"), "event_id", "action_time",
         F.unix_micros("action_time").alias("micros"))
-    states = keyed.groupBy("user_id", "salt").applyInPandasWithState(
-        keep, "user_id long, salt long, micros array<long>, ids array<long>", "micros array<long>, ids array<long>",
-        "update", GroupStateTimeout.EventTimeTimeout)
+    states = keyed.groupBy("user_id", "salt").transformWithStateInPandas(
+        _last_actions_processor(n, idle_ms), "user_id long, salt long, micros array<long>, ids array<long>", "update", "eventTime")
+
     def last(rows: DataFrame) -> DataFrame:
         each = rows.select("user_id", "batch_id", F.explode(F.arrays_zip("micros", "ids")).alias("x"))
         each = each.groupBy("user_id", "x.micros", F.col("x.ids").alias("event_id")).agg(F.max("batch_id").alias("batch_id"))
@@ -241,4 +262,11 @@ def last_actions(log: DataFrame, n: int, salts: int = 4, delay: str = "1 day", i
         kept = last(rows).groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("micros", "event_id"))).alias("x"), F.max("batch_id").alias("batch_id"))
         return kept.select("user_id", F.lit(0).cast("long").alias("salt"), F.col("x.micros").alias("micros"), F.col("x.event_id").alias("ids"), "batch_id")
 
-    return last(to_table(states, "last-actions", "update", combine=combine, **where)).drop("batch_id")
+    store = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(store)
+    spark.conf.set(store, ROCKSDB)
+    try:
+        table = to_table(states, "last-actions", "update", combine=combine, **where)
+    finally:
+        spark.conf.set(store, before)
+    return last(table).drop("batch_id")

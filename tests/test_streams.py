@@ -85,3 +85,16 @@ def test_bad_json_gives_nulls(spark):
     lines = spark.createDataFrame([("{broken",), ('{"actionTime":"2024-01-01 00:00:00","param":{"userId":"7"}}',)], "value string")
     rows = jobs.parse_log(lines).collect()
     assert rows[0]["user_id"] is None and rows[1]["user_id"] == 7
+
+
+@pytest.mark.parametrize("idle_days, remembered", [(1, False), (100, True)])
+def test_idle_state_ends_by_timer(spark, idle_days, remembered):
+    source, table = work_path(spark, "idle-source"), work_path(spark, "idle-table")
+    for i, (user, day) in enumerate([(1, 1), (2, 11), (3, 12), (1, 13)]):
+        spark.createDataFrame([(i, user, f"2024-03-{day:02d} 00:00:00")], "event_id long, user_id long, at string").select(
+            "event_id", "user_id", F.to_timestamp("at").alias("action_time")).coalesce(1).write.mode("append").parquet(source)
+    log = jobs.file_stream(spark, source, spark.read.parquet(source).schema, files_per_batch=1)
+    last = jobs.last_actions(log, n=5, salts=1, delay="1 hour", idle_ms=idle_days * 86_400_000, path=table)
+    newest = spark.read.parquet(table).where("user_id = 1").orderBy(F.desc("batch_id")).first()
+    assert newest["ids"] == ([0, 3] if remembered else [3])
+    assert [(r["event_id"], r["back"]) for r in last.where("user_id = 1").orderBy("back").collect()] == [(3, 1), (0, 2)]
