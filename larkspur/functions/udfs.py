@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larkspur.operators import windows
+
 
 def title_case() -> Callable[..., Column]:
     """Typed scalar Python function over Arrow batches."""
@@ -55,12 +57,13 @@ def grouped_scores(df: DataFrame, keys: Sequence[str], value: str, row_id: str,
 
     Group statistics are combined first and joined on; the pandas function then
     runs on slices of about ``size`` rows, so no group has to fit in one task.
+    Rows with a null key are a group.
     """
     stats = df.groupBy(*keys).agg(
         F.avg(value).alias("group_mean"), F.stddev_samp(value).alias("group_sd"),
         F.ceil(F.count("*") / F.lit(size)).alias("slices"))
     sliced = (
-        df.select(*keys, row_id, value).join(stats, list(keys))
+        windows.rejoin(df.select(*keys, row_id, value), stats, keys)
         .withColumn("slice", F.pmod(F.xxhash64(row_id), F.col("slices")))
     )
 

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.functions import text as tx
-from larkspur.operators.sampling import hash_number
+from larkspur.operators import windows
 from larkspur.session import spread
 
 LIST_SIZE = 1000
@@ -16,18 +18,19 @@ LIST_SIZE = 1000
 
 def collect_chunks(df: DataFrame, keys: Sequence[str], item: str, row_id: str, name: str = "items",
                    size: int = LIST_SIZE) -> DataFrame:
-    """Values per key as sorted lists of about ``size``; large keys get several.
+    """Values per key as sorted lists of at most ``size``, numbered by ``chunk``.
 
-    The number of lists of a key follows from its row count, and a row goes to
-    the list its hashed ``row_id`` names; no list grows with the size of its key.
+    List 0 of a key has the values of its first ``size`` rows by ``row_id``
+    (a number, no ties), list 1 those of the next, and so on; what a list
+    holds does not depend on how many follow it.  Rows with a null key form a
+    key of their own.  Only keys of more than ``size`` rows are counted off,
+    by ranges; a list is all that has to fit in one place.
     """
-    one_of = F.when(F.col("_lists") == 1, F.lit(0)).otherwise(F.pmod(hash_number(F.col(row_id)), F.col("_lists")))
-    lists = df.groupBy(*keys).agg(F.ceil(F.count("*") / F.lit(size)).alias("_lists"))
-    return (
-        df.join(lists, list(keys))
-        .withColumn("chunk", one_of)
-        .groupBy(*keys, "chunk").agg(F.array_sort(F.collect_list(item)).alias(name))
-    )
+    large = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > size).select(*[F.col(k).alias(f"_large_{i}") for i, k in enumerate(keys)])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_large_{i}")) for i, k in enumerate(keys)])
+    short = df.join(large, same, "left_anti").withColumn("chunk", F.lit(0).cast("long"))
+    long = windows.position(df.join(large, same, "left_semi"), row_id, row_id, keys, "_place").withColumn("chunk", F.floor((F.col("_place") - 1) / size).cast("long")).drop("_place")
+    return short.unionByName(long).groupBy(*keys, "chunk").agg(F.array_sort(F.collect_list(item)).alias(name))
 
 
 def longest_word(words: DataFrame, column: str) -> DataFrame:

@@ -2,7 +2,8 @@
 
 A plain window puts all rows of a key into one task.  Here ordered keys are cut
 into value ranges first; each range is handled on its own and the small table
-of range totals (at most ``RANGES`` squared rows per key) carries the offsets.
+of range totals carries the offsets.  The number of ranges follows from the
+number of rows (``ROWS_A_RANGE``), found in the pass that finds the borders.
 Top-k keeps the plain form, because Spark limits each map task to k rows per
 group before the shuffle.
 """
@@ -14,7 +15,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES = 32
+from larkspur.functions import vectors as vx
+
+RANGES, MOST_RANGES = 32, 2048
+ROWS_A_RANGE = 1_000_000
+BLOCK = 64  # borders looked through at once
 
 
 def top_k(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, rank: str = "rank") -> DataFrame:
@@ -29,26 +34,45 @@ def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Seq
     return df.groupBy(*keys).agg(picked).select(*keys, "picked.*")
 
 
-def _bounds(df: DataFrame, columns: Sequence[str], ranges: int) -> Column:
-    """Approximate quantiles of numeric columns in their own types, one array each, from a single pass."""
-    probs = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
-    cut = [F.array_distinct(F.percentile_approx(F.col(c), probs, F.lit(2000))).alias(f"b{i}")
-           for i, c in enumerate(columns)]
-    return df.agg(*cut).select(F.struct(*[f"b{i}" for i in range(len(columns))])).scalar()
+def _bounds(df: DataFrame, columns: Sequence[str], rows_a_range: int) -> Column:
+    """Approximate quantiles of numeric columns in their own types, and the number of rows, from a single pass.
+
+    A struct with an array of blocks of borders for each column.  All
+    ``MOST_RANGES`` quantiles are drawn; every so many-th is a border, so that
+    there is one for each ``rows_a_range`` rows, ``RANGES`` at least.
+    """
+    probs = vx.literal([i / MOST_RANGES for i in range(1, MOST_RANGES)])
+    drawn = df.agg(F.count("*").alias("n"), *[F.percentile_approx(F.col(c), probs, F.lit(5 * MOST_RANGES)).alias(f"q{i}") for i, c in enumerate(columns)])
+    wanted = F.least(F.greatest(F.ceil(F.col("n") / rows_a_range), F.lit(RANGES)), F.lit(MOST_RANGES))
+    step = F.floor(F.lit(MOST_RANGES) / wanted).cast("int")
+
+    def blocks(name: str) -> Column:
+        some = F.array_distinct(F.transform(F.sequence(step, F.lit(MOST_RANGES - 1), step), lambda i: F.col(name)[i - 1]))
+        return F.transform(F.sequence(F.lit(0), F.size(some) - 1, F.lit(BLOCK)), lambda i: F.slice(some, i + 1, F.lit(BLOCK)))
+
+    kept = [F.when(F.col(f"q{i}").isNotNull(), blocks(f"q{i}")).alias(f"b{i}") for i in range(len(columns))]
+    return drawn.select(F.struct(*kept)).scalar()
+
+
+def _place(blocks: Column, x: Column) -> tuple[Column, Column]:
+    """How many borders lie below ``x``, and whether ``x`` is one: first the block, then the place in it."""
+    ahead = F.size(F.filter(blocks, lambda b: b[0] < x))  # blocks that begin below x
+    here = F.get(blocks, F.greatest(ahead - 1, F.lit(0)))
+    below = F.when(ahead > 0, (ahead - 1) * BLOCK + F.size(F.filter(here, lambda b: b < x))).otherwise(0)
+    border = F.array_contains(here, x) | F.array_contains(F.coalesce(F.get(blocks, ahead), here), x)
+    return F.coalesce(below, F.lit(0)), F.coalesce(border, F.lit(False))
 
 
-def with_ranges(df: DataFrame, order: str, tie: str, ranges: int = RANGES) -> DataFrame:
+def with_ranges(df: DataFrame, order: str, tie: str, rows_a_range: int = ROWS_A_RANGE) -> DataFrame:
     """Add ``r1``, ``r2``: ordering by (r1, r2) agrees with (order, tie).
 
     A value frequent enough to be a boundary gets a range of its own, and that
     range is cut again by the tie column; so one repeated value cannot make one
     large range.
     """
-    bounded = df.withColumn("_q", _bounds(df, [order, tie], ranges))
-    x = F.col(order)
-    below = F.size(F.filter(F.col("_q")["b0"], lambda b: b < x))
-    own = F.coalesce(F.array_contains(F.col("_q")["b0"], x), F.lit(False))  # nulls sort first, in range 0
-    tie_range = F.size(F.filter(F.col("_q")["b1"], lambda b: b < F.col(tie)))
+    bounded = df.withColumn("_q", _bounds(df, [order, tie], rows_a_range))
+    below, own = _place(F.col("_q")["b0"], F.col(order))  # nulls sort first, in range 0
+    tie_range, _ = _place(F.col("_q")["b1"], F.col(tie))
     return (
         bounded.withColumn("r1", 2 * below + own.cast("int"))
         .withColumn("r2", F.when(own, tie_range).otherwise(F.lit(0)))
@@ -82,9 +106,8 @@ def position(df: DataFrame, order: str, tie: str, keys: Sequence[str] = (), name
 
 def running_total(df: DataFrame, keys: Sequence[str], order: str, value: str, name: str) -> DataFrame:
     """Running sum of ``value`` by ``order``; (keys, order) must be unique."""
-    ranged = df.withColumn("_q", _bounds(df, [order], RANGES))
-    x = F.col(order)
-    ranged = ranged.withColumn("r1", F.size(F.filter(F.col("_q")["b0"], lambda b: b < x))).drop("_q")
+    ranged = df.withColumn("_q", _bounds(df, [order], ROWS_A_RANGE))
+    ranged = ranged.withColumn("r1", _place(F.col("_q")["b0"], F.col(order))[0]).drop("_q")
     slot = [*keys, "r1"]
     sums = ranged.groupBy(*slot).agg(F.sum(value).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("r1").rowsBetween(Window.unboundedPreceding, -1)

@@ -306,18 +306,14 @@ def join_semi_filter(t):
             .agg(F.count("*").alias("n"), F.round(F.sum("l_quantity"), 2).alias("qty")))
 
 
-@query("""SELECT coalesce(a.k, b.k) AS k, coalesce(a.chunk, b.chunk) AS chunk, left_items, right_items FROM
-  (SELECT k, chunk, array_to_string(list_sort(list(o_orderkey)), ',') AS left_items FROM (
-     SELECT o_custkey AS k, o_orderkey, CAST(('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8)) AS BIGINT) % CAST(ceil(count(*) OVER (PARTITION BY o_custkey) / 1000) AS BIGINT)
-       AS chunk FROM orders) GROUP BY k, chunk) a
-  FULL JOIN (SELECT c_custkey AS k, 0 AS chunk, c_name AS right_items FROM customer) b
-    ON a.k = b.k AND a.chunk = b.chunk""")
+@query("""SELECT k, side, chunk, array_to_string(list_sort(list(item)), ',') AS items FROM (
+    SELECT o_custkey AS k, 'left' AS side, CAST(o_orderkey AS VARCHAR) AS item, (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // 20 AS chunk FROM f_dirty
+    UNION ALL SELECT c_custkey, 'right', c_name, 0 FROM customer) GROUP BY 1, 2, 3""")
 def join_cogroup(t):
-    left = t.orders.select(F.col("o_custkey").alias("k"), "o_orderkey")
+    left = fx.dirty_orders(t).select(F.col("o_custkey").alias("k"), "o_orderkey")
     right = t.customer.select(F.col("c_custkey").alias("k"), "c_name", "c_custkey")
-    both = joins.cogroup(left, right, "k", "o_orderkey", "c_name", "o_orderkey", "c_custkey")
-    return both.select("k", "chunk", F.array_join(F.col("left_items").cast("array<string>"), ",").alias("left_items"),
-                       F.array_join("right_items", ",").alias("right_items"))
+    both = joins.cogroup(left, right, "k", "o_orderkey", "c_name", "o_orderkey", "c_custkey", size=20)
+    return both.select("k", "side", "chunk", F.array_join(F.array_sort("items"), ",").alias("items"))
 
 
 @query("""SELECT user_id, idx, n FROM (SELECT user_id, count(*) AS n FROM events GROUP BY 1) JOIN
@@ -375,10 +371,12 @@ def agg_combine_by_key(t):
 
 
 @query("""SELECT user_id, chunk, array_to_string(list_sort(list(event_id)), ',') AS ids, count(*) AS n FROM (
-  SELECT user_id, event_id, CAST(('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 8)) AS BIGINT) % CAST(ceil(count(*) OVER (PARTITION BY user_id) / 50) AS BIGINT) AS chunk
-  FROM events) GROUP BY 1, 2""")
+  SELECT user_id, event_id, (row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1) // 50 AS chunk
+  FROM (SELECT CASE WHEN user_id % 9 <> 0 THEN user_id END AS user_id, event_id FROM events)) GROUP BY 1, 2""")
 def agg_group_by_key(t):
-    lists = ag.collect_chunks(t.events.select("user_id", "event_id"), ["user_id"], "event_id", "event_id", "ids", 50)
+    """Lists of fifty; the rows without a user are one large key."""
+    events = t.events.select(F.when(F.col("user_id") % 9 != 0, F.col("user_id")).alias("user_id"), "event_id")
+    lists = ag.collect_chunks(events, ["user_id"], "event_id", "event_id", "ids", 50)
     return lists.select("user_id", "chunk", F.array_join(F.col("ids").cast("array<string>"), ",").alias("ids"),
                         F.size("ids").cast("long").alias("n"))
 
@@ -448,16 +446,17 @@ def agg_cube(t):
 
 
 @query("""SELECT a.o_custkey, statuses, chunk, keys FROM
-  (SELECT o_custkey, array_to_string(list_sort(list(DISTINCT o_orderstatus)), ',') AS statuses FROM orders GROUP BY 1) a
+  (SELECT o_custkey, array_to_string(list_sort(list(DISTINCT o_orderstatus)), ',') AS statuses FROM f_dirty GROUP BY 1) a
   JOIN (SELECT o_custkey, chunk, array_to_string(list_sort(list(o_orderkey)), ',') AS keys FROM (
-    SELECT o_custkey, o_orderkey, CAST(('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8)) AS BIGINT) % CAST(ceil(count(*) OVER (PARTITION BY o_custkey) / 1000) AS BIGINT) AS chunk
-    FROM orders) GROUP BY 1, 2) b ON a.o_custkey = b.o_custkey""")
+    SELECT o_custkey, o_orderkey, (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // 1000 AS chunk
+    FROM f_dirty) GROUP BY 1, 2) b ON a.o_custkey IS NOT DISTINCT FROM b.o_custkey""")
 def agg_collect(t):
-    sets = t.orders.groupBy("o_custkey").agg(
+    orders = fx.dirty_orders(t)
+    sets = orders.groupBy("o_custkey").agg(
         F.array_join(F.array_sort(F.collect_set("o_orderstatus")), ",").alias("statuses"))
-    lists = ag.collect_chunks(t.orders.select("o_custkey", "o_orderkey"), ["o_custkey"], "o_orderkey", "o_orderkey")
+    lists = ag.collect_chunks(orders.select("o_custkey", "o_orderkey"), ["o_custkey"], "o_orderkey", "o_orderkey")
     keys = F.array_join(F.col("items").cast("array<string>"), ",").alias("keys")
-    return sets.join(lists, "o_custkey").select("o_custkey", "statuses", "chunk", keys)
+    return windows.rejoin(lists, sets, ["o_custkey"]).select("o_custkey", "statuses", "chunk", keys)
 
 
 @query("""SELECT * FROM (

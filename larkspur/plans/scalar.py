@@ -299,12 +299,15 @@ def fn_approxCountDistinct(t):
     return counts.select("exact", (F.abs(F.col("about") - F.col("exact")) <= 0.2 * F.col("exact")).alias("near"))  # four standard errors
 
 
-@query("""SELECT l_orderkey, array_to_string(list_sort(list(l_linenumber)), ',') AS v FROM lineitem GROUP BY 1""")
+@query("""SELECT l_orderkey, (n - 1) // 4 AS chunk, array_to_string(list_sort(list(l_partkey)), ',') AS v FROM (
+    SELECT l_orderkey, l_partkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY place) AS n FROM (
+      SELECT l_orderkey, l_partkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey) AS place FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem))) GROUP BY 1, 2""")
 def fn_collect_list(t):
     from larkspur.operators import aggregates as ag
 
-    lists = ag.collect_chunks(t.lineitem, ["l_orderkey"], "l_linenumber", "l_partkey")
-    return lists.select("l_orderkey", F.array_join(F.col("items").cast("array<string>"), ",").alias("v"))
+    parts = t.lineitem.select("l_orderkey", "l_partkey").distinct()
+    lists = ag.collect_chunks(parts, ["l_orderkey"], "l_partkey", "l_partkey", size=4)
+    return lists.select("l_orderkey", "chunk", F.array_join(F.col("items").cast("array<string>"), ",").alias("v"))
 
 
 @query("""SELECT user_id, array_to_string(list_sort(list(DISTINCT event_type)), ',') AS v FROM events GROUP BY 1""")

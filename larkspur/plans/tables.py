@@ -261,11 +261,13 @@ def udf_pandas_scalar(t):
     return t.part.select("p_partkey", udfs.upper_series()("p_name").alias("v"))
 
 
-@query("""SELECT event_id, round((value - avg(value) OVER w) / stddev_samp(value) OVER w, 6) AS z FROM events
-  WINDOW w AS (PARTITION BY event_type)""")
+@query("""SELECT o_orderkey, round((o_orderkey - avg(o_orderkey) OVER w) / stddev_samp(o_orderkey) OVER w, 6) AS z FROM f_dirty
+  WINDOW w AS (PARTITION BY o_orderpriority)""")
 def udf_pandas_grouped(t):
-    scored = udfs.grouped_scores(t.events, ["event_type"], "value", "event_id")
-    return scored.select("event_id", F.round("z", 6).alias("z"))
+    """The rows without a priority are a group like the others."""
+    orders = fx.dirty_orders(t).withColumn("x", F.col("o_orderkey").cast("double"))
+    scored = udfs.grouped_scores(orders, ["o_orderpriority"], "x", "o_orderkey")
+    return scored.select("o_orderkey", F.round("z", 6).alias("z"))
 
 
 @query("SELECT count(*) AS n, true AS in_unit, true AS differ FROM events")

@@ -36,6 +36,15 @@ def test_hot_value_is_cut_into_ranges(hot):
     assert max(r["count"] for r in ranged) < 120
 
 
+@pytest.mark.parametrize("rows_a_range, least, most", [(1_000_000, 25, 40), (10, 90, 160), (1, 800, 2100)])
+def test_ranges_follow_the_number_of_rows(spark, rows_a_range, least, most):
+    rows = spark.range(1200).select((F.col("id") * 7919 % 1201).alias("value"), "id")
+    ranged = windows.with_ranges(rows, "value", "id", rows_a_range).cache()
+    assert least <= ranged.select(F.floor((F.col("r1") + 1) / 2)).distinct().count() <= most
+    placed = sorted((r["r1"], r["r2"], r["value"]) for r in ranged.collect())
+    assert [v for *_, v in placed] == sorted(v for *_, v in placed)
+
+
 def test_cume_dist(hot):
     rows = hot.collect()
     got = {(r["user_id"], r["value"]): r["cume"] for r in windows.cume_dist(hot, ["user_id"], "value").collect()}
@@ -59,8 +68,12 @@ def test_neighbours(hot):
 
 def test_lists_stay_small_and_whole(hot):
     lists = aggregates.collect_chunks(hot, ["user_id"], "id", "id", size=50).collect()
-    assert max(len(r["items"]) for r in lists) <= 100
+    assert max(len(r["items"]) for r in lists) <= 50
     assert sorted(i for r in lists for i in r["items"]) == list(range(1200))
+    # What a list holds does not depend on how many rows of the key follow it.
+    more = hot.unionByName(hot.where("user_id is not null").withColumn("id", F.col("id") + 5000))
+    again = {(r["user_id"], r["chunk"]): r["items"] for r in aggregates.collect_chunks(more, ["user_id"], "id", "id", size=50).collect()}
+    assert all(again[r["user_id"], r["chunk"]] == r["items"] for r in lists if len(r["items"]) == 50)
 
 
 def test_many_copies_of_one_vector(spark):
