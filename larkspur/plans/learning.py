@@ -12,7 +12,7 @@ from pyspark.ml.clustering import LDA, GaussianMixture, KMeans
 from pyspark.ml.evaluation import (
     BinaryClassificationEvaluator, ClusteringEvaluator, MulticlassClassificationEvaluator, RegressionEvaluator)
 from pyspark.ml.feature import (
-    IDF, Binarizer, Bucketizer, CountVectorizer, ElementwiseProduct, HashingTF, IndexToString, MaxAbsScaler,
+    IDF, Binarizer, Bucketizer, CountVectorizer, CountVectorizerModel, ElementwiseProduct, HashingTF, IndexToString, MaxAbsScaler,
     MinMaxScaler, NGram, Normalizer, OneHotEncoder, PCA, PolynomialExpansion, QuantileDiscretizer, RegexTokenizer, RFormula,
     SQLTransformer, StandardScaler, StopWordsRemover, StringIndexer, Tokenizer, VectorAssembler, VectorIndexer, VectorSlicer)
 from pyspark.ml.fpm import FPGrowth
@@ -261,8 +261,17 @@ def named_slots(df, vector, vocabulary):
 @query(f"SELECT p_partkey, w AS word, CAST(count(*) AS DOUBLE) AS v FROM {PART_WORDS} GROUP BY 1, 2")
 def fe_count_vectorizer(t):
     words = part_words(t)
-    model = CountVectorizer(minDF=1.0, inputCol="w", outputCol="counts").fit(words)
-    return named_slots(model.transform(words), "counts", model.vocabulary)
+    model = whole_vocabulary(words, minDF=1.0).fit(words)
+    path = work_path(t.spark, "word-counter")
+    model.write().overwrite().save(path)
+    again = CountVectorizerModel.load(path)
+    return named_slots(again.transform(words), "counts", again.vocabulary)
+
+
+def whole_vocabulary(words, **settings):
+    """A counter that keeps every word: its bound is the number of different words, not the default of the class."""
+    size = words.select(F.explode("w").alias("word")).agg(F.count_distinct("word")).first()[0]
+    return CountVectorizer(inputCol="w", outputCol="counts", vocabSize=max(1, size), **settings)
 
 
 @query(f"SELECT p_partkey, CAST(count(*) AS DOUBLE) AS n_words, CAST(count(*) AS DOUBLE) AS total FROM {PART_WORDS} GROUP BY 1")
@@ -275,7 +284,7 @@ def fe_hashing_tf(t):
   JOIN (SELECT w, count(DISTINCT p_partkey) AS df FROM {PART_WORDS} GROUP BY 1) b USING (w) GROUP BY 1, 2""")
 def fe_idf(t):
     words = part_words(t)
-    counter = CountVectorizer(inputCol="w", outputCol="counts").fit(words)
+    counter = whole_vocabulary(words).fit(words)
     counted = counter.transform(words)
     weighted = IDF(inputCol="counts", outputCol="weights").fit(counted).transform(counted)
     return named_slots(weighted, "weights", counter.vocabulary).withColumn("v", F.round("v", 6))
@@ -488,6 +497,38 @@ def ml_linreg(t):
     return fitted.select(F.round("slope", 3).alias("slope"), F.round("intercept", 2).alias("intercept"))
 
 
+@query("""WITH m AS (SELECT regr_slope(l_extendedprice, l_quantity) AS b, regr_intercept(l_extendedprice, l_quantity) AS a FROM lineitem)
+  SELECT count(*) AS n, round(regr_r2(l_extendedprice, l_quantity), 8) AS r2, round(sqrt(avg(pow(l_extendedprice - a - b * l_quantity, 2))), 3) AS rmse,
+    round(avg(abs(l_extendedprice - a - b * l_quantity)), 3) AS mae, true AS huber_no_worse FROM lineitem, m""")
+def ml_linreg_summary(t):
+    """What the fit says of itself, and whether a fit by Huber's loss leaves no larger absolute errors."""
+    data = t.lineitem.select(array_to_vector(F.array(F.col("l_quantity").cast("double"))).alias("features"), F.col("l_extendedprice").alias("label"))
+    model = LinearRegression(regParam=0.0, solver="normal").fit(data)
+    robust = LinearRegression(loss="huber", epsilon=1.35, maxIter=50).fit(data)
+    told = model.summary
+    left = robust.transform(data).select(F.avg(F.abs(F.col("label") - F.col("prediction")))).scalar()
+    row = (told.numInstances, float(told.r2), float(told.rootMeanSquaredError), float(told.meanAbsoluteError))
+    table = t.spark.createDataFrame([row], "n long, r2 double, rmse double, mae double")
+    return table.select("n", F.round("r2", 8).alias("r2"), F.round("rmse", 3).alias("rmse"), F.round("mae", 3).alias("mae"), (left <= 1.001 * F.col("mae")).alias("huber_no_worse"))
+
+
+@query("SELECT true AS adds_up, true AS quantity_first, true AS variance_in_leaves")
+def ml_tree_importances(t):
+    """Importances add up to one and name the quantity first; rows carry the variance of their leaf."""
+    train, test = halves(t)
+    model = DecisionTreeRegressor(maxDepth=5, labelCol="price", varianceCol="variance", seed=1).fit(train)
+    shares = [float(x) for x in model.featureImportances.toArray()]
+    known = model.transform(test).agg((F.min("variance") >= 0).alias("v")).select("v").scalar()
+    return t.spark.range(1).select(F.lit(abs(sum(shares) - 1) < 1e-9).alias("adds_up"), F.lit(max(shares) == shares[0]).alias("quantity_first"), known.alias("variance_in_leaves"))
+
+
+@query()
+def ml_gbt_rules(t):
+    """The conditions that lead to each leaf of the boosted trees."""
+    model = models.trees_then_logistic(trees=5, depth=3, rounds=10).fit(halves(t)[0])
+    return t.spark.createDataFrame(models.leaf_rules(model.stages[0]), "tree int, leaf int, conditions string")
+
+
 @query(UNSEEN_ROWS)
 def ml_glm(t):
     return fitted(GeneralizedLinearRegression(family="gaussian", link="identity", labelCol="price", maxIter=10, regParam=0.1), t, 0.1)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,6 +41,63 @@ def src_csv_corrupt(t):
     return kept.unionByName(lost)
 
 
+WIDE = """WITH v AS (SELECT vec_id, label, [CASE WHEN (vec_id + i) % 50 <> 0 THEN CAST(floor(CAST(embedding[i % 64 + 1] AS DOUBLE) * 1000) AS BIGINT) END FOR i IN range(365)] AS vals
+    FROM embeddings WHERE vec_id % 11 <> 0)"""
+
+
+@query(f"""{WIDE} SELECT vec_id, label, CAST(365 AS BIGINT) AS n, CAST(len(list_filter(vals, lambda x: x IS NULL)) AS BIGINT) AS missing, CAST(list_sum(vals) AS DOUBLE) AS total FROM v
+  UNION ALL SELECT NULL, NULL, count(*), NULL, NULL FROM embeddings WHERE vec_id % 11 = 0""")
+def src_csv_wide(t):
+    """Lines of two fields and 365 numbers, some missing; every eleventh line is cut short or spoilt."""
+    day = F.sequence(F.lit(0), F.lit(364))
+    number = F.transform(day, lambda i: F.when((F.col("vec_id") + i) % 50 != 0, F.floor(F.element_at("embedding", (i % 64 + 1).cast("int")).cast("double") * 1000).cast("string")).otherwise(""))
+    spoilt = F.when(F.col("vec_id") % 22 == 0, F.slice(number, 1, 300)).otherwise(F.concat(F.slice(number, 1, 364), F.array(F.lit("x"))))
+    kept = F.when(F.col("vec_id") % 11 == 0, spoilt).otherwise(number)
+    lines = spread(t.embeddings).select(F.concat_ws(",", F.col("vec_id").cast("string"), F.col("label").cast("string"), kept).alias("line"))
+    good, bad = files.parse_wide(lines, "line", {"vec_id": "long", "label": "int"}, 365)
+    rows = good.select("vec_id", "label", F.size("vals").cast("long").alias("n"), F.size(F.filter("vals", lambda x: x.isNull())).cast("long").alias("missing"),
+                       vx.total(F.filter("vals", lambda x: x.isNotNull())).alias("total"))
+    lost = bad.agg(F.count("*").alias("n")).select(F.lit(None).cast("long").alias("vec_id"), F.lit(None).cast("int").alias("label"), "n",
+                                                   F.lit(None).cast("long").alias("missing"), F.lit(None).cast("double").alias("total"))
+    return rows.unionByName(lost)
+
+
+def types_of(df):
+    return F.array_join(F.array(*[F.lit(f"{name} {kind}") for name, kind in df.dtypes]), ",")
+
+
+@query("""SELECT 'file' AS form, 'c_custkey int,c_name string,c_nationkey int,c_acctbal double,c_mktsegment string' AS types, count(*) AS n, round(sum(c_acctbal), 2) AS total FROM customer
+  UNION ALL SELECT 'lines', 'key int,balance double', count(*), round(sum(c_acctbal), 2) FROM customer""")
+def src_csv_inferred(t):
+    """Types found from the data: of files with a header, and of lines that lie in a column."""
+    path = work_path(t.spark, "customer-csv")
+    columns = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+    files.write(t.customer.select(*columns), path, "csv", header=True)
+    back = files.infer_csv(t.spark, path)
+    lines = t.customer.select(F.concat_ws(",", F.col("c_custkey").cast("string"), F.col("c_acctbal").cast("string")).alias("line"))
+    told = files.infer_lines(lines, "line", ["key", "balance"])
+    one = back.agg(F.count("*").alias("n"), F.round(F.sum("c_acctbal"), 2).alias("total")).select(F.lit("file").alias("form"), types_of(back).alias("types"), "n", "total")
+    two = told.agg(F.count("*").alias("n"), F.round(F.sum("balance"), 2).alias("total")).select(F.lit("lines").alias("form"), types_of(told).alias("types"), "n", "total")
+    return one.unionByName(two)
+
+
+@query("""SELECT 'event_id bigint,event_type string,props string,ts string,user_id bigint,value double' AS types, count(*) AS n, round(sum(value), 3) AS total FROM events""")
+def src_json_inferred(t):
+    path = work_path(t.spark, "events-json")
+    files.write(t.events, path, "json")
+    back = t.spark.read.json(path)
+    return back.agg(F.count("*").alias("n"), F.round(F.sum("value"), 3).alias("total")).select(types_of(back).alias("types"), "n", "total")
+
+
+@query("SELECT item_id, md5(text || chr(10)) AS digest FROM benchmark")
+def src_text_whole(t):
+    """A folder of small files, each read as one row."""
+    path = work_path(t.spark, "benchmark-files")
+    t.benchmark.select("text", "item_id").repartition("item_id").write.partitionBy("item_id").option("lineSep", "\n").text(path)
+    back = files.read_text(t.spark, path, whole_file=True)
+    return back.select(F.regexp_extract("path", "item_id=([0-9]+)/", 1).cast("long").alias("item_id"), F.md5("value").alias("digest"))
+
+
 @query("SELECT event_id, user_id, event_type, value, props, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts FROM events")
 def src_json(t):
     path = work_path(t.spark, "events-json")
@@ -119,6 +177,20 @@ def src_create(t):
     return t.nation.join(made, F.col("n_regionkey") == F.col("k")).select("n_name", "label")
 
 
+@query("""SELECT form, n_name, v.label AS label FROM nation JOIN (VALUES (0, 'north'), (1, 'south'), (2, NULL)) AS v(k, label) ON n_regionkey = v.k,
+  (VALUES ('dicts'), ('rows'), ('pandas'), ('ddl')) AS f(form)""")
+def src_create_forms(t):
+    """The same small table from dictionaries, rows, a pandas frame, and tuples with a DDL schema."""
+    import pandas as pd
+
+    pairs = [(0, "north"), (1, "south"), (2, None)]
+    make = t.spark.createDataFrame
+    made = {"dicts": make([{"k": k, "label": v} for k, v in pairs]), "rows": make([Row(k=k, label=v) for k, v in pairs]),
+            "pandas": make(pd.DataFrame(pairs, columns=["k", "label"]), "k long, label string"), "ddl": make(pairs, "k int, label string")}
+    parts = [t.nation.join(df, F.col("n_regionkey") == F.col("k")).select(F.lit(form).alias("form"), "n_name", "label") for form, df in made.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
 @query("""SELECT r.k AS k, o.o_orderkey IS NOT NULL AS used FROM range(0, (SELECT max(o_orderkey) + 11 FROM orders), 2) AS r(k)
   LEFT JOIN orders o ON o.o_orderkey = r.k""")
 def src_range(t):
@@ -128,6 +200,20 @@ def src_range(t):
             .select("k", F.col("o_orderkey").isNotNull().alias("used")))
 
 
+@query("SELECT n_nationkey, n_name, CAST(count(c_custkey) AS BIGINT) AS customers FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY 1, 2")
+def src_catalog_table(t):
+    """A table registered over files that lie somewhere, asked by name, then taken out of the catalogue."""
+    path = work_path(t.spark, "customer-files")
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    t.customer.select("c_custkey", "c_nationkey").write.parquet(path)
+    t.spark.sql(f"CREATE TABLE {table} (c_custkey BIGINT, c_nationkey INT) USING parquet LOCATION '{path}'")
+    found = t.spark.table(table).withColumn("c_nationkey", F.col("c_nationkey").cast("int"))
+    counts = t.nation.join(found, F.col("n_nationkey") == F.col("c_nationkey"), "left").groupBy("n_nationkey", "n_name").agg(F.count("c_custkey").alias("customers"))
+    result = materialise(counts, "customers-by-nation")
+    t.spark.sql(f"DROP TABLE {table}")
+    return result
+
+
 @query("SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey")
 def src_catalog(t):
     t.nation.createOrReplaceTempView("larkspur_nation")

@@ -30,16 +30,42 @@ def parse_lines(lines: DataFrame, column: str, schema: str) -> tuple[DataFrame,
     return good, bad
 
 
+def parse_wide(lines: DataFrame, column: str, head: dict[str, str], width: int, sep: str = ",") -> tuple[DataFrame, DataFrame]:
+    """Lines of a few named fields and ``width`` numbers to typed rows with a ``vals`` array, and the lines that are not so.
+
+    An empty number is missing (null); a line with another number of fields,
+    or with a field that does not read as its type, goes to the second result.
+    """
+    fields = F.split(column, sep)
+    numbers = F.slice(fields, len(head) + 1, width)
+    typed = lines.withColumns({
+        "_fields": fields, "_head": F.struct(*[F.get(fields, i).try_cast(kind).alias(name) for i, (name, kind) in enumerate(head.items())]),
+        "_vals": F.transform(numbers, lambda x: F.nullif(F.trim(x), F.lit("")).try_cast("double"))})
+    wrong = F.exists(F.arrays_zip(numbers.alias("text"), F.col("_vals").alias("value")), lambda x: x["value"].isNull() & (F.trim(x["text"]) != ""))
+    whole = (F.size("_fields") == len(head) + width) & F.expr(" AND ".join(f"_head.{name} IS NOT NULL" for name in head)) & ~wrong
+    return typed.where(whole).select("_head.*", F.col("_vals").alias("vals")), typed.where(~F.coalesce(whole, F.lit(False))).select(column)
+
+
+def infer_csv(spark: SparkSession, path: str, *, header: bool = True, share: float = 1.0) -> DataFrame:
+    """CSV whose types are found from ``share`` of its rows; one more pass over the files than with a schema."""
+    return spark.read.option("inferSchema", True).option("samplingRatio", share).csv(path, header=header)
+
+
+def infer_lines(lines: DataFrame, column: str, names: Sequence[str]) -> DataFrame:
+    """CSV lines held in a column, with types found from the first line."""
+    first = lines.select(column).first()[0]
+    parsed = lines.select(F.from_csv(column, F.schema_of_csv(F.lit(first))).alias("row")).select("row.*")
+    return parsed.toDF(*names)
+
+
 def read_json(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
 def read_text(spark: SparkSession, path: str, whole_file: bool = False) -> DataFrame:
     """Lines (or, for folders of small files, whole files) with the path they came from."""
-    reader = spark.read.option("wholetext", whole_file)
-    if not whole_file:
-        reader = reader.option("lineSep", "\n")
-    return reader.text(path).withColumn("path", F.col("_metadata.file_path"))
+    # The argument, not the option: its default would undo the option.
+    return spark.read.text(path, wholetext=whole_file, lineSep=None if whole_file else "\n").withColumn("path", F.col("_metadata.file_path"))
 
 
 def query_parquet(spark: SparkSession, path: str, columns: str, condition: str) -> DataFrame:
