@@ -6,31 +6,36 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkspur.functions import text as tx
 from larkspur.operators import windows
-from larkspur.session import spread
+from larkspur.session import materialise, spread
 
 LIST_SIZE = 1000
 
 
 def collect_chunks(df: DataFrame, keys: Sequence[str], item: str, row_id: str, name: str = "items",
-                   size: int = LIST_SIZE) -> DataFrame:
+                   size: int = LIST_SIZE, counted: int = 1_000_000) -> DataFrame:
     """Values per key as sorted lists of at most ``size``, numbered by ``chunk``.
 
     List 0 of a key has the values of its first ``size`` rows by ``row_id``
     (a number, no ties), list 1 those of the next, and so on; what a list
     holds does not depend on how many follow it.  Rows with a null key form a
-    key of their own.  Only keys of more than ``size`` rows are counted off,
-    by ranges; a list is all that has to fit in one place.
+    key of their own.  Keys of more than ``counted`` rows are counted off by
+    ranges, the others in one task each; both give the same places.
     """
-    large = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > size).select(*[F.col(k).alias(f"_large_{i}") for i, k in enumerate(keys)])
-    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_large_{i}")) for i, k in enumerate(keys)])
-    short = df.join(large, same, "left_anti").withColumn("chunk", F.lit(0).cast("long"))
-    long = windows.position(df.join(large, same, "left_semi"), row_id, row_id, keys, "_place").withColumn("chunk", F.floor((F.col("_place") - 1) / size).cast("long")).drop("_place")
-    return short.unionByName(long).groupBy(*keys, "chunk").agg(F.array_sort(F.collect_list(item)).alias(name))
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(row_id))
+    large = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > counted).select(*[F.col(k).alias(f"_large_{i}") for i, k in enumerate(keys)])
+    if large.isEmpty():
+        placed = df.withColumn("_place", place)
+    else:
+        large = materialise(large, "large-keys")
+        same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_large_{i}")) for i, k in enumerate(keys)])
+        long = windows.position(df.join(large, same, "left_semi"), row_id, row_id, keys, "_place")
+        placed = df.join(large, same, "left_anti").withColumn("_place", place).unionByName(long)
+    return placed.withColumn("chunk", F.floor((F.col("_place") - 1) / size).cast("long")).groupBy(*keys, "chunk").agg(F.array_sort(F.collect_list(item)).alias(name))
 
 
 def longest_word(words: DataFrame, column: str) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from larkspur.functions import vectors as vx
 
-RANGES, MOST_RANGES = 32, 2048
+RANGES, MOST_RANGES = 32, 1024
 ROWS_A_RANGE = 1_000_000
 BLOCK = 64  # borders looked through at once
 
@@ -42,7 +42,7 @@ def _bounds(df: DataFrame, columns: Sequence[str], rows_a_range: int) -> Column:
     there is one for each ``rows_a_range`` rows, ``RANGES`` at least.
     """
     probs = vx.literal([i / MOST_RANGES for i in range(1, MOST_RANGES)])
-    drawn = df.agg(F.count("*").alias("n"), *[F.percentile_approx(F.col(c), probs, F.lit(5 * MOST_RANGES)).alias(f"q{i}") for i, c in enumerate(columns)])
+    drawn = df.agg(F.count("*").alias("n"), *[F.percentile_approx(F.col(c), probs, F.lit(2 * MOST_RANGES)).alias(f"q{i}") for i, c in enumerate(columns)])
     wanted = F.least(F.greatest(F.ceil(F.col("n") / rows_a_range), F.lit(RANGES)), F.lit(MOST_RANGES))
     step = F.floor(F.lit(MOST_RANGES) / wanted).cast("int")
 

@@ -210,10 +210,10 @@ def fe_normalizer(t):
 
 @query("""WITH x AS (SELECT [l_quantity::DOUBLE, l_discount::DOUBLE, l_tax::DOUBLE, l_linenumber::DOUBLE] AS f FROM lineitem),
   w AS (SELECT flatten([list_concat([f[j]], [f[i] * f[j] FOR i IN range(1, j + 1)]) FOR j IN range(1, 5)]) AS o FROM x)
-  SELECT CAST(u.slot - 1 AS INTEGER) AS slot, count(*) AS n, round(sum(u.v), 3) AS total FROM w, unnest(w.o) WITH ORDINALITY AS u(v, slot) GROUP BY 1""")
+  SELECT CAST(u.slot - 1 AS INTEGER) AS slot, count(*) AS n, round(sum(u.v), 5) AS total FROM w, unnest(w.o) WITH ORDINALITY AS u(v, slot) GROUP BY 1""")
 def fe_poly(t):
     wide = PolynomialExpansion(degree=2, inputCol="features", outputCol="out").transform(line_samples(t))
-    return wide.select(F.posexplode(vector_to_array("out")).alias("slot", "v")).groupBy("slot").agg(F.count("*").alias("n"), F.round(F.sum("v"), 3).alias("total"))
+    return wide.select(F.posexplode(vector_to_array("out")).alias("slot", "v")).groupBy("slot").agg(F.count("*").alias("n"), F.round(F.sum("v"), 5).alias("total"))
 
 
 VECTOR_KEY = "l_orderkey"

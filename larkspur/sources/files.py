@@ -101,8 +101,13 @@ def append_partitioned(df: DataFrame, table: str, partition: str) -> None:
 
 def insert_partitions(df: DataFrame, table: str) -> None:
     """Put rows in place of those of the same partitions, by column position as INSERT does; other partitions stay."""
-    columns = df.sparkSession.table(table).columns
-    df.select(*columns).write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+    spark, mode = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")  # the writer's option of that name does not reach an insert
+    try:
+        df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
 
 
 def read_partition(spark: SparkSession, path: str, schema: T.StructType, partition: str, value) -> DataFrame:

@@ -20,7 +20,7 @@ CRC_OF_ABC, SOUNDEX_OF_ROBERT = 891568578, "R163"
 CHECKED = ["cln_impute_model", "par_cache", "par_explain", "par_repartition", "prj_partition_id", "ord_within", "smp_stratified", "agg_approx_count",
            "udf_nondeterministic", "udf_transformer", "udf_side_effect_partition", "fe_quantile_buckets", "fe_hashing_tf", "fe_poly", "fe_vector_indexer",
            "fe_rformula", "fe_pca", "fe_ctr_pipeline", "fe_chisq", "ml_logreg", "ml_tree_cls", "ml_rf_cls", "ml_gbt_cls", "ml_naive_bayes", "ml_svc", "ml_mlp",
-           "ml_fm", "ml_gbt_lr", "ml_text_classifier", "ml_glm", "ml_tree_reg", "ml_rf_reg", "ml_gbt_reg", "ml_kmeans", "ml_gmm", "ml_pipeline_io",
+           "ml_fm", "ml_gbt_lr", "ml_glm", "ml_tree_reg", "ml_rf_reg", "ml_gbt_reg", "ml_kmeans", "ml_gmm", "ml_pipeline_io",
            "ml_cross_validate", "ml_model_compare", "ml_fpgrowth", "ml_fpgrowth_rules", "ml_fpgrowth_predict", "smp_with_replacement", "sink_partitioned_table",
            "app_als_explicit", "app_als_grid", "app_word_vectors", "str_hot_windowed", "str_online_recall", "app_result_split", "app_track_params"]
 
@@ -31,6 +31,12 @@ def test_checked_by_sql(name, spark, duck):
     assert oracle.difference(got, oracle.duck_rows(duck, CATALOGUE[name].sql)) is None
 
 
+def test_text_classifier_on_more_documents(spark):
+    folder = "/root/testdata/sf0.01"  # the smallest folder has 24 unseen documents
+    got = oracle.spark_rows(CATALOGUE["ml_text_classifier"](spark, folder))
+    assert oracle.difference(got, oracle.duck_rows(oracle.duck(folder), CATALOGUE["ml_text_classifier"].sql)) is None
+
+
 def test_known_function_values(spark):
     row = spark.range(1).select(F.crc32(F.lit("abc").cast("binary")).alias("crc"), F.soundex(F.lit("Robert")).alias("s"),
                                 F.initcap(F.lit("ab cd")).alias("i"), F.conv(F.lit("ff"), 16, 10).alias("c"),
