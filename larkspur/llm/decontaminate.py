@@ -202,29 +202,33 @@ class ShortIndex:
         return tuple(np.concatenate(found).T)
 
     def _near(self, data: np.ndarray, first: np.ndarray, stop: np.ndarray, begin: np.ndarray, row: np.ndarray) -> np.ndarray:
-        """Whether the half lies around ``begin`` within its edits: the steps of ``least_distance`` for many places at once."""
-        length, edits = self.length[row], self.edits[row]
-        near = np.zeros(len(row), bool)
-        for size in np.unique(length):
-            own = np.flatnonzero(length == size)
-            full, top, one = np.uint64((1 << int(size)) - 1), np.uint64(size - 1), np.uint64(1)
-            plus, minus = np.full(len(own), full), np.zeros(len(own), np.uint64)
-            score = np.full(len(own), size)
-            best = score.copy()
-            reach = int(edits[own].max())
-            for step in range(-reach, int(size) + reach):
-                at = begin[own] + step
-                inside = (at >= first[own]) & (at < stop[own])
-                eq = np.where(inside, self.places[row[own], data[np.clip(at, 0, len(data) - 1)]], np.uint64(0))
-                vertical = eq | minus
-                eq = eq | (((eq & plus) + plus) ^ plus)
-                up, down = minus | (full & ~(eq | plus)), plus & eq
-                score += ((up >> top) & one).astype(np.int64) - ((down >> top) & one).astype(np.int64)
-                up, down = (up << one) & full, (down << one) & full
-                plus = down | (full & ~(vertical | up))
-                minus = up & vertical
-                best = np.minimum(best, score)
-            near[own] = best <= edits[own]
+        """Whether the half lies around ``begin`` within its edits: the steps of ``least_distance`` for many places at once.
+
+        A few more may pass, never fewer: the exact distance of the whole item decides later.
+        """
+        size, edits = self.length[row], self.edits[row]
+        if not len(row):
+            return np.zeros(0, bool)
+        # All lengths go through the steps together; bits above a half's own are cut off by its mask.
+        one = np.uint64(1)
+        top = (size - 1).astype(np.uint64)
+        full = ((one << top) - one) | (one << top)
+        plus, minus = full.copy(), np.zeros(len(row), np.uint64)
+        score, best = size.copy(), size.copy()
+        reach = int(edits.max())
+        for step in range(-reach, int(size.max()) + reach):
+            at = begin + step
+            inside = (at >= first) & (at < stop) & (step < size + reach)
+            eq = np.where(inside, self.places[row, data[np.clip(at, 0, len(data) - 1)]], np.uint64(0))
+            vertical = eq | minus
+            eq = eq | (((eq & plus) + plus) ^ plus)
+            up, down = minus | (full & ~(eq | plus)), plus & eq
+            score += ((up >> top) & one).astype(np.int64) - ((down >> top) & one).astype(np.int64)
+            up, down = (up << one) & full, (down << one) & full
+            plus = down | (full & ~(vertical | up))
+            minus = up & vertical
+            np.minimum(best, score, out=best)
+        near = best <= edits
         return near
 
 
