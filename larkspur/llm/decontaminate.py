@@ -40,15 +40,14 @@ class Plan:
             samples.append((t % walks, tuple(sorted(int(s) for s in order[:symbols]))))
         return Plan(steps, bits.astype(np.int8).reshape(walks, steps, 256), tuple(samples))
 
-    def embed(self, data: np.ndarray, stop: np.ndarray, at: np.ndarray, walk: int) -> np.ndarray:
-        """Step x window matrix of symbols; a walk that leaves its text reads 0."""
-        at, out = at.copy(), np.empty((self.steps, len(at)), np.uint8)
-        last = np.minimum(stop, len(data)) - 1
+    def embed(self, fenced: np.ndarray, at: np.ndarray, walk: int) -> np.ndarray:
+        """Step x window matrix of symbols; a walk that reaches the fence behind its text stays there and reads 0."""
+        at, out = at.astype(np.int32), np.empty((self.steps, len(at)), np.uint8)
+        moves = self.moves[walk].astype(np.int32)
+        moves[:, 0] = 0
         for step in range(self.steps):
-            symbol = data[np.minimum(at, last)]
-            symbol = np.where(at <= last, symbol, 0)
-            out[step] = symbol
-            at += self.moves[walk, step][symbol]
+            np.take(fenced, at, out=out[step])
+            at += np.take(moves[step], out[step])
         return out
 
     def keys(self, table: int, embedded: np.ndarray) -> np.ndarray:
@@ -62,6 +61,13 @@ class Plan:
         return np.flatnonzero(embedded[self.samples[table][1][-1]])
 
 
+def fence(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The texts with a zero byte behind each; what stood at x in text d stands at x + d."""
+    out = np.zeros(len(data) + len(offsets) - 1, np.uint8)
+    out[np.arange(len(data)) + np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))] = data
+    return out
+
+
 def normalise(column: pa.Array) -> pa.Array:
     """Lower case, one space for each run of white space, none at the ends."""
     lowered = pc.utf8_lower(column.fill_null("")).cast(pa.binary())
@@ -88,6 +94,19 @@ def winnow(flat: Flat, hashes: np.ndarray, width: int) -> np.ndarray:
     return np.flatnonzero(chosen)
 
 
+def _by_row(embedded: np.ndarray) -> np.ndarray:
+    """A row of eight symbols to a word for each window."""
+    padded = np.zeros((embedded.shape[1], -(-embedded.shape[0] // 8) * 8), np.uint8)
+    padded[:, : embedded.shape[0]] = embedded.T
+    return padded.view(np.uint64)
+
+
+def _filled(words: np.ndarray) -> np.ndarray:
+    """The top bit of every byte that is not zero."""
+    low = np.uint64(0x7F7F7F7F7F7F7F7F)
+    return (((words & low) + low) | words) & ~low
+
+
 class Index:
     """Every word start of every item, embedded and sampled."""
 
@@ -101,7 +120,10 @@ class Index:
             self.embedded = [np.zeros((plan.steps, 0), np.uint8)] * len(plan.moves)
         else:
             self.item, self.offset = flat.doc, flat.start - offsets[flat.doc]
-            self.embedded = [plan.embed(flat.data, offsets[flat.doc + 1], flat.start, w) for w in range(len(plan.moves))]
+            fenced = fence(flat.data, offsets)
+            self.embedded = [plan.embed(fenced, flat.start + flat.doc, w) for w in range(len(plan.moves))]
+        self.rows = [_by_row(e) for e in self.embedded]
+        self.inside = [_filled(r) for r in self.rows]
         self.tables = []
         for t, (walk, _) in enumerate(plan.samples):
             inside = plan.whole(t, self.embedded[walk])
@@ -111,11 +133,13 @@ class Index:
             maybe[keys & np.uint64(len(maybe) - 1)] = True
             self.tables.append((keys[order], inside[order], maybe))
 
-    def matches(self, data: np.ndarray, stop: np.ndarray, at: np.ndarray, most_apart: float) -> tuple[np.ndarray, np.ndarray]:
+    def matches(self, fenced: np.ndarray, at: np.ndarray, most_apart: float) -> tuple[np.ndarray, np.ndarray]:
         """(window, item word) pairs that share a table key and whose embeddings differ in at most this share of steps."""
-        found = [np.zeros((0, 2), np.int64)]
+        found = [np.zeros(0, np.int64)]
         for walk in range(len(self.plan.moves)):
-            embedded = self.plan.embed(data, stop, at, walk)
+            embedded = self.plan.embed(fenced, at, walk)
+            rows, own_rows, own_inside = _by_row(embedded), self.rows[walk], self.inside[walk]
+            steps = np.bitwise_count(own_inside).sum(axis=1, dtype=np.int64)
             for t, (own, _) in enumerate(self.plan.samples):
                 if own != walk:
                     continue
@@ -129,12 +153,13 @@ class Index:
                     continue
                 first = np.repeat(low - np.concatenate([[0], np.cumsum(high - low)[:-1]]), high - low)
                 word = order[first + np.arange(len(window))]
-                own_symbols = self.embedded[walk][:, word]
-                apart = ((embedded[:, window] != own_symbols) & (own_symbols > 0)).sum(axis=0)
-                near = apart <= most_apart * (own_symbols > 0).sum(axis=0)
-                found.append(np.stack([window[near], word[near]], 1))
-        pairs = np.unique(np.concatenate(found), axis=0)
-        return pairs[:, 0], pairs[:, 1]
+                for cut in range(0, len(window), 1 << 14):
+                    a, b = window[cut : cut + (1 << 14)], word[cut : cut + (1 << 14)]
+                    apart = np.bitwise_count(_filled(rows[a] ^ own_rows[b]) & own_inside[b]).sum(axis=1, dtype=np.int64)
+                    near = apart <= most_apart * steps[b]
+                    found.append(a[near] * len(self.item) + b[near])
+        pairs = np.unique(np.concatenate(found))
+        return np.divmod(pairs, max(1, len(self.item)))
 
 
 class ShortIndex:
@@ -245,7 +270,7 @@ def _candidates(held, share: float, width: int, most_apart: float):
                     continue
                 at = flat.start[winnow(flat, flat.word_hashes(), width)]
                 doc = np.searchsorted(flat.offsets, at, "right") - 1
-                window, word = index.matches(flat.data, flat.offsets[doc + 1], at, most_apart)
+                window, word = index.matches(fence(flat.data, flat.offsets), at + doc, most_apart)
                 item = index.item[word]
                 owner, begin = doc[window], at[window] - index.offset[word]
                 owner, item, begin = (np.concatenate(both) for both in zip((owner, item, begin), short.matches(flat.data, flat.offsets)))
@@ -325,7 +350,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = 0.1, reca
     Items are indexed in blocks of ``block_items``, so that what is broadcast
     stays bounded; each block is one pass over the documents.  Null and empty
     texts or items hold nothing; items with a null id are left out; of items
-    with equal id each counts.  Repeated documents give their pairs once.
+    with equal id each counts.  A walk ends at a zero byte as at the end of
+    its text.  Repeated documents give their pairs once.
     """
     spark = docs.sparkSession
     plan = Plan.make(recall, agreement, symbols, walks, steps, seed)
