@@ -17,7 +17,7 @@ CRC_OF_ABC, SOUNDEX_OF_ROBERT = 891568578, "R163"
 
 
 # Queries whose rows say whether a property holds; SQL has the counts beside it.
-CHECKED = ["cln_impute_model", "par_cache", "par_explain", "par_repartition", "prj_partition_id", "ord_within", "smp_stratified", "agg_approx_count",
+CHECKED = ["par_cache", "par_explain", "par_repartition", "smp_stratified",
            "udf_nondeterministic", "udf_transformer", "udf_side_effect_partition", "fe_quantile_buckets", "fe_hashing_tf", "fe_poly", "fe_vector_indexer",
            "fe_rformula", "fe_pca", "fe_ctr_pipeline", "fe_chisq", "ml_logreg", "ml_tree_cls", "ml_rf_cls", "ml_gbt_cls", "ml_naive_bayes", "ml_svc", "ml_mlp",
            "ml_fm", "ml_gbt_lr", "ml_glm", "ml_tree_reg", "ml_rf_reg", "ml_gbt_reg", "ml_kmeans", "ml_gmm", "ml_pipeline_io",
