@@ -65,6 +65,34 @@ def test_retrieval_edges(spark, factors):
     assert by_list(retrieval.best_products(one, same, 4, small=10)) == {(0, 1): [0, 1, 2, 3]}
 
 
+def test_lists_are_cut_where_pairs_meet(spark, factors):
+    users, items, scores = factors
+    whole = {}
+    for r in retrieval.candidates(users, items).collect():
+        whole.setdefault((r["user_id"] - 10**12, r["channel_id"]), []).append((-r["score"], r["item_id"]))
+    history = spark.createDataFrame([(10**12 + u, i) for u in range(0, 120, 2) for i in range(0, 4300, 3)], "user_id long, item_id long")
+    for block in (200, 1 << 22):  # many blocks of users, or one
+        best = retrieval.best_products(users, items, 20, history, block=block)
+        joins = [line for line in best._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in line]
+        assert not any("cell" in line for line in joins)  # pairs are never rows
+        got = by_list(best)
+        for (u, c), found in whole.items():
+            assert got[u, c] == [i for _, i in sorted(found) if u % 2 or i % 3][:20]
+
+
+def test_lists_of_words_and_copies(spark):
+    items = spark.createDataFrame([(f"w{i:03d}", 1, [1.0, float(i // 10)]) for i in range(90)] + [("w000", 1, [1.0, 50.0])],
+                                  "item_id string, channel_id int, vec array<double>")
+    users = spark.createDataFrame([(1, [0.0, 1.0]), (1, [0.0, -1.0]), (2, [float("nan"), 1.0])], "user_id long, vec array<double>")
+    history = spark.createDataFrame([(1, "w000"), (1, "w089")], "user_id long, item_id string")
+    got = {}
+    for r in retrieval.best_products(users, items, 12, history).collect():
+        got.setdefault(r["user_id"], {})[r["rank"]] = r["item_id"], r["score"]
+    # The user's two rows share one list; the words of one vector come in the order of their names.
+    assert [got[1][i][0] for i in range(1, 13)] == [f"w{i:03d}" for i in range(80, 89)] + ["w070", "w071", "w072"]
+    assert [got[2][i][0] for i in range(1, 13)] == ["w000"] * 2 + [f"w{i:03d}" for i in range(1, 11)]
+
+
 def test_factor_model_keeps_long_ids(spark):
     rng = np.random.default_rng(5)
     taste = rng.integers(0, 2, 40)
