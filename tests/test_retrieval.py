@@ -152,3 +152,19 @@ def test_synonyms_equal_brute_force(spark):
         if w != "zero":
             near = sorted((-float(v @ x / np.linalg.norm(v) / np.linalg.norm(x)), y) for (d, y), x in words.items() if d == c and y not in (w, "zero"))
             assert [s for _, s in sorted(got[c, w])] == [y for _, y in near[:4]]
+
+
+def test_topic_bound_equals_sparks(spark):
+    from pyspark.ml.clustering import LDA
+    from pyspark.ml.feature import CountVectorizer
+
+    from larkspur.operators import models
+
+    rng = np.random.default_rng(1)
+    docs = [([f"w{i}" for i in rng.integers(0, 20, 30) + 20 * (d % 2)],) for d in range(40)] + [([],)]
+    table = spark.createDataFrame(docs, "w array<string>")
+    counted = CountVectorizer(inputCol="w", outputCol="features").fit(table).transform(table)
+    model = LDA(k=3, maxIter=5, seed=1, docConcentration=[0.25], topicConcentration=0.25).fit(counted)
+    bound, n = models.topic_bound(model, counted, "features", 0.25, 0.25)
+    assert n == 1200 and abs(bound / model.logLikelihood(counted) - 1) < 2e-3
+    assert abs(-bound / n / model.logPerplexity(counted) - 1) < 2e-3
