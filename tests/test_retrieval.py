@@ -168,3 +168,20 @@ def test_topic_bound_equals_sparks(spark):
     bound, n = models.topic_bound(model, counted, "features", 0.25, 0.25)
     assert n == 1200 and abs(bound / model.logLikelihood(counted) - 1) < 2e-3
     assert abs(-bound / n / model.logPerplexity(counted) - 1) < 2e-3
+
+
+def test_word_vectors_fit_one_channel_at_a_time(spark, monkeypatch):
+    rows = [(1, 1, ["red", "ring", "red"]), (2, 1, ["red", "ring", "ring"]), (3, 2, ["red", "wolf", "red"]), (4, 2, ["red"]), (5, 3, ["rare"])]
+    table = spark.createDataFrame(rows, "article_id long, channel_id int, words array<string>")
+    sizes, fit = [], text.Word2Vec.fit
+
+    def counted(self, data):
+        model = fit(self, data)
+        sizes.append(model.getVectors().count())
+        return model
+
+    monkeypatch.setattr(text.Word2Vec, "fit", counted)
+    got = text.word_vectors(table, size=5, min_count=3).collect()
+    assert sorted((r["channel_id"], r["keyword"]) for r in got) == [(1, "red"), (1, "ring"), (2, "red")]
+    assert all(len(r["vec"]) == 5 for r in got) and sorted(sizes) == [1, 2]  # never the words of all channels in one fit
+    assert text.word_vectors(table.where("channel_id = 3"), size=5).count() == 0
