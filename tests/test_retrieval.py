@@ -185,3 +185,12 @@ def test_word_vectors_fit_one_channel_at_a_time(spark, monkeypatch):
     assert sorted((r["channel_id"], r["keyword"]) for r in got) == [(1, "red"), (1, "ring"), (2, "red")]
     assert all(len(r["vec"]) == 5 for r in got) and sorted(sizes) == [1, 2]  # never the words of all channels in one fit
     assert text.word_vectors(table.where("channel_id = 3"), size=5).count() == 0
+
+
+def test_document_vectors_travel_once(spark):
+    weights = spark.createDataFrame([(1, 1, "a", 2.0), (1, 1, "b", 2.0), (1, 1, "c", 1.0), (2, None, "a", 0.5)], "article_id long, channel_id int, keyword string, weight double")
+    vectors = spark.createDataFrame([("a", [1.0, 0.5]), ("b", [1.0, 0.5]), ("c", [0.0, 4.0])], "keyword string, vec array<float>")
+    docs = text.document_vectors(weights, vectors, ["keyword"])
+    assert sorted((r["article_id"], r["vec"]) for r in docs.collect()) == [(1, [1.0, 2.5]), (2, [0.5, 0.25])]  # equal products count once
+    plan = docs._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan.count("Exchange hashpartitioning(article_id") == 1
