@@ -5,6 +5,7 @@ import re
 from collections import Counter
 from types import SimpleNamespace
 
+import numpy as np
 import oracle
 import pyarrow as pa
 import pytest
@@ -15,7 +16,7 @@ from larkspur.llm.components import components
 from larkspur.llm.decontaminate import Index, Plan, ShortIndex, _candidates, contaminated, least_distance
 from larkspur.llm.jaccard import jaccard_components
 from larkspur.llm.licences import KNOWN, licence_matches
-from larkspur.llm.line_dedup import fuzzy_lines, within_edits
+from larkspur.llm.line_dedup import Profiles, all_within_edits, fuzzy_lines, within_edits
 
 
 class Forest:
@@ -259,6 +260,30 @@ def test_crowded_buckets_keep_near_lines(spark, words):
     assert near > 100 and got.where("n_removed = 1").count() >= 0.9 * near
 
 
+@pytest.mark.parametrize("crowded", [1, 64])
+def test_crowded_buckets_lose_no_near_line(spark, crowded):
+    """All lines share two words and nothing else with their near line, in which a letter of every other word is changed."""
+    rng = random.Random(21)
+    docs = []
+    for i in range(130):
+        own = ["".join(rng.choice("abcdefghijklm") for _ in range(8)) for _ in range(6)]
+        changed = [w[:at] + "x" + w[at + 1 :] for w, at in ((w, rng.randrange(8)) for w in own)]
+        docs += [(2 * i, " ".join(["common", "passage", *own])), (2 * i + 1, " ".join(["common", "passage", *changed]))]
+    got = fuzzy_lines(spark.createDataFrame(docs, "doc_id long, text string"), crowded=crowded)
+    assert {r.doc_id for r in got.where("n_removed = 1").collect()} == {2 * i + 1 for i in range(130)}
+
+
+def test_profiles_never_hide_a_near_string():
+    rng = random.Random(22)
+    for _ in range(40):
+        texts = ["".join(rng.choices("abé漢 ", k=rng.randrange(12))) for _ in range(12)]
+        a, b = (x.ravel() for x in np.meshgrid(np.arange(12), np.arange(12)))
+        distance = np.array([levenshtein(texts[x], texts[y]) for x, y in zip(a, b)])
+        assert Profiles(texts).may_be_near(a, b, distance).all()
+        for more in (-1, 0, 2):
+            assert (all_within_edits([texts[x] for x in a], [texts[y] for y in b], distance + more) == (more >= 0)).all()
+
+
 def test_short_items_are_all_found(words):
     """Items of 1 to 12 words, exact and with edits of 8 to 10 % of the bytes, inside longer texts."""
     rng, words = random.Random(14), [w for w in words if w.isascii()]
