@@ -60,3 +60,11 @@ def test_salted_position_needs_no_single_partition(tables):
 def test_dirty_fixture_has_its_nulls(tables):
     dirty = fx.dirty_orders(tables)
     assert dirty.filter("o_custkey IS NULL").count() > 0 and dirty.filter(F.isnan("o_totalprice")).count() > 0
+
+
+def test_term_counts_stay_with_their_article(tables):
+    """Whole word lists are shuffled by article; small weights are sent to the counts, so these never travel by word."""
+    articles = tables.documents.select(F.col("doc_id").alias("article_id"), F.lit(1).alias("channel_id"), F.col("text").alias("sentence"))
+    counts = text.term_counts(text.tokenize(articles))
+    shown = plan(text.tfidf_topk(counts, text.idf_table(counts, articles))).split("== Physical Plan ==")[1]
+    assert "Exchange hashpartitioning(article_id" in shown and "Exchange hashpartitioning(keyword" not in shown
