@@ -98,3 +98,30 @@ def test_idle_state_ends_by_timer(spark, idle_days, remembered):
     newest = spark.read.parquet(table).where("user_id = 1").orderBy(F.desc("batch_id")).first()
     assert newest["ids"] == ([0, 3] if remembered else [3])
     assert [(r["event_id"], r["back"]) for r in last.where("user_id = 1").orderBy("back").collect()] == [(3, 1), (0, 2)]
+
+
+def test_category_recall_moves_events_not_draws(spark, stream_folder, monkeypatch):
+    """The lists of a plain draw, with blocks and pieces of a few rows; tables hold lists, not a row for each draw."""
+    from collections import defaultdict
+    from hashlib import md5
+
+    monkeypatch.setattr(jobs, "EVENTS_A_BLOCK", 7, raising=False)
+    monkeypatch.setattr(jobs, "SLOTS_A_PIECE", 2, raising=False)
+    sizes = {0: 1, 1: 3, 2: 5, None: 4}
+    pool = [(c, s, 100 * (c or 0) + s * s, n) for c, n in sizes.items() for s in range(n)]
+    pool = spark.createDataFrame([*pool, (1, 0, 777, 3)], "cate_id int, slot long, item_id long, n long")  # slot 0 of category 1 twice
+    log = open_stream(spark, stream_folder).where("event_id < 60").select(
+        "event_id", F.when(F.col("event_id") % 9 > 0, F.col("event_id") % 4).alias("user_id"), F.when(F.col("event_id") % 11 > 0, F.col("event_id") % 4).cast("int").alias("cate_id"))
+    path = work_path(spark, "category-table")
+    got = jobs.category_recall(log, pool, draws=3, path=path)
+    items = defaultdict(list)
+    for r in pool.collect():
+        items[r["cate_id"], r["slot"]].append(r["item_id"])
+    want = set()
+    for e in [r["event_id"] for r in spark.read.parquet(stream_folder[0]).where("event_id < 60").collect()]:
+        user, cate = e % 4 if e % 9 else None, e % 4 if e % 11 else None
+        for d in range(1, 4) if cate in (0, 1, 2) else ():
+            want |= {(user, cate, i) for i in items[cate, int(md5(f"{e}:{d}".encode()).hexdigest()[:8], 16) % sizes[cate]]}
+    rows = [tuple(r) for r in got.select("user_id", "cate_id", "item_id").collect()]
+    assert len(rows) == len(want) and set(rows) == want
+    assert spark.read.parquet(path).schema["items"].dataType.typeName() == "array"
