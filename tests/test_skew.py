@@ -157,3 +157,26 @@ def test_null_keys_and_null_order_values_keep_their_rows(spark):
     assert windows.normalise(df, ["k"], "id", "z").count() == 40
     assert windows.neighbours(df, ["k"], ["id"], "x", "id", -1).count() == 40
     assert windows.cume_dist(df, ["k"], "x").count() == df.select("k", "x").distinct().count()
+
+
+def test_exact_rank_over_blocks_of_nodes(spark, monkeypatch):
+    """Nodes in many blocks, two roots, repeated edges, an edge to nowhere and a root without edges."""
+    monkeypatch.setattr(graph, "NODES_PER_BLOCK", 5)
+    pairs = [(f"u{u}", f"item_{(u * u + i) % 7}") for u in range(12) for i in range(3)] + [("u0", "item_6")] * 2
+    edges = [*pairs, *((b, a) for a, b in pairs), ("u1", None), (None, "u1")]
+    degree = defaultdict(int)
+    for a, _ in edges:
+        degree[a] += 1
+    want = {}
+    for root in ("u0", "u1", "alone"):
+        ranks = {root: 1.0}
+        for _ in range(120):
+            new = defaultdict(float, {root: 0.2})
+            for a, b in edges:
+                if a is not None and a in ranks:
+                    new[b] += 0.8 * ranks[a] / degree[a]
+            ranks = new
+        want |= {(root, node): score / 0.2 for node, score in ranks.items()}
+    got = graph.personal_rank_exact(spark.createDataFrame(edges, "src string, dst string"), spark.createDataFrame([("u0",), ("u1",), ("alone",)], "root string"))
+    got = {(r["root"], r["node"]): r["score"] for r in got.collect()}
+    assert got == pytest.approx(want, abs=1e-6) and ("u1", None) in got
