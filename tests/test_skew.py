@@ -180,3 +180,18 @@ def test_exact_rank_over_blocks_of_nodes(spark, monkeypatch):
     got = graph.personal_rank_exact(spark.createDataFrame(edges, "src string, dst string"), spark.createDataFrame([("u0",), ("u1",), ("alone",)], "root string"))
     got = {(r["root"], r["node"]): r["score"] for r in got.collect()}
     assert got == pytest.approx(want, abs=1e-6) and ("u1", None) in got
+
+
+def test_negatives_read_the_ratings_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(x):
+        read.add(1)
+        return x
+
+    seen = spark.range(300).select((F.col("id") % 20).alias("user_id"), counted("id").alias("item_id"))
+    pool = spark.range(900).select(F.col("id").alias("item_id"), F.col("id").alias("slot"))
+    rows = sampling.negatives(seen, pool).collect()
+    assert rows and all(r["quota"] == 15 for r in rows)
+    assert read.value == 300
