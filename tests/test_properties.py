@@ -282,3 +282,17 @@ def test_every_other_query_has_rows(spark):
     for name in names:
         assert CATALOGUE[name](spark, "/root/testdata/sf0.001").limit(1).count() == 1
     assert work_path(spark, "x") != work_path(spark, "x")
+
+
+def test_counted_lines_stand_for_all_lines(spark, tables):
+    """Equal rows once with their number; the fit from them answers like that from all rows."""
+    from larkspur.operators import models
+    from larkspur.plans import learning
+
+    for whole, counted in zip(learning.halves(tables), learning.counted_halves(tables)):
+        each = {(r["features"], r["label"]): r["n"] for r in whole.groupBy("features", "label").agg(F.count("*").alias("n")).collect()}
+        assert each == {(r["features"], r["label"]): r["n"] for r in counted.collect()}
+    train, test = learning.counted_halves(tables)
+    a, b = models.trees_then_logistic(trees=2, depth=3, rounds=5).fit(learning.halves(tables)[0]), models.trees_then_logistic(trees=2, depth=3, rounds=5, weight="n").fit(train)
+    first, second = ({r["features"]: r["prediction"] for r in m.transform(test.drop("n") if m is a else test).collect()} for m in (a, b))
+    assert sum(first[k] == second[k] for k in first) >= 0.98 * len(first)
