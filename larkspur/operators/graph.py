@@ -142,7 +142,7 @@ def personal_rank_exact(edges: DataFrame, roots: DataFrame, alpha: float = 0.8,
     place = F.row_number().over(Window.partitionBy("block").orderBy("node")) - 1
     nodes = materialise(placed.withColumn("place", place.cast("int")), "rank-nodes")
 
-    tails = nodes.select(F.col("node").alias("src"), F.col("block").alias("i"), F.col("place").alias("a"), (F.lit(alpha) / F.col("degree")).alias("w"))
+    tails = nodes.where("degree > 0").select(F.col("node").alias("src"), F.col("block").alias("i"), F.col("place").alias("a"), (F.lit(alpha) / F.col("degree")).alias("w"))
     heads = nodes.select(F.col("node").alias("dst"), F.col("block").alias("j"), F.col("place").alias("b"))
     ends = windows.rejoin(edges.join(tails, "src"), heads, ["dst"]).select("i", "j", "a", "b", "w")
     parts = min(blocks * blocks, int(spark.conf.get("spark.sql.shuffle.partitions")))

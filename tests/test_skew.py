@@ -198,7 +198,7 @@ def test_negatives_read_the_ratings_once(spark):
 
 
 def test_ad_rows_of_samples_are_those_of_the_full_joins(spark):
-    samples = spark.createDataFrame([(u, d * 86400, a, f"P{a % 2}", 1 - c, c) for u, d, a, c in [
+    samples = spark.createDataFrame([(u, d * 86400, a, f"P{(a or 0) % 2}", c and 1 - c, c) for u, d, a, c in [
         (1, 1, 10, 1), (1, 2, 11, 0), (2, 1, 99, 1), (9, 3, 10, 0), (None, 1, 10, 1), (1, 1, None, 1), (1, 1, 10, 1), (2, 2, 12, None)]],
         "user_id long, ts long, adgroup_id long, pid string, nonclk int, clk int")
     ads = spark.createDataFrame([(10, 3, 1.5), (11, 4, None), (12, 5, 2.5), (13, 6, 2.0), (None, 1, 1.0)], "adgroup_id long, cate_id int, price double")
@@ -206,4 +206,4 @@ def test_ad_rows_of_samples_are_those_of_the_full_joins(spark):
                                   "user_id long, cms_group int, gender int, age_level int, pvalue_level int, shopping_level int, occupation int, class_level int")
     got, want = (df.na.drop(subset=["clk", "price", "cms_group"]) for df in (ranking.sample_rows(samples, ads, users), ranking.ad_rows(samples, ads, users)))
     assert got.count() == 2 and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(got.columns).collect()))
-    assert ranking.sample_rows(samples, ads, users).select(F.max("ts")).scalar() == 3 * 86400
+    assert ranking.sample_rows(samples, ads, users).agg(F.max("ts")).first()[0] == 3 * 86400
