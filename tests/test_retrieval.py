@@ -52,6 +52,18 @@ def test_best_items_without_crossing(spark, factors):
     assert met < 0.2 * 120 * 4000
 
 
+def test_lists_leave_out_no_item(spark, factors):
+    """Beyond 1,024 items too, with and without a history, whatever the cells are."""
+    users, items, scores = factors
+    gone = {u: set(truth(scores, u, 0, 4000, 30)[::2]) for u in range(0, 120, 2)}
+    history = spark.createDataFrame([(10**12 + u, int(i)) for u, own in gone.items() for i in own], "user_id long, item_id long")
+    for search in ({}, {"small": 10, "bands": 2}, {"most_cells": 3}, {"most_known": 0}):
+        got = by_list(retrieval.best_products(users, items, 20, history, **search))
+        assert got == {(u, c): truth(scores, u, *ends, 20, gone.get(u, ())) for u in range(120) for c, ends in ((1, (0, 4000)), (2, (4000, 4300)))}
+    met = by_list(retrieval.candidates(users, items, share=0.25, least=50).withColumn("rank", -F.col("score")))
+    assert all(met[u, c] == truth(scores, u, *ends, n) for u in range(120) for c, ends, n in ((1, (0, 4000), 1000), (2, (4000, 4300), 75)))
+
+
 def test_retrieval_edges(spark, factors):
     users, items, scores = factors
     own = users.withColumn("channel_id", F.lit(2))
