@@ -64,6 +64,24 @@ def test_lists_leave_out_no_item(spark, factors):
     assert all(met[u, c] == truth(scores, u, *ends, n) for u in range(120) for c, ends, n in ((1, (0, 4000), 1000), (2, (4000, 4300), 75)))
 
 
+def test_recall_by_factors_does_not_depend_on_the_number_of_items(spark):
+    """The lists of app_recall_merge, app_result_split and app_track_params, in a channel of 1,500 items."""
+    from types import SimpleNamespace
+
+    from larkspur.plans.recommend import factor_list
+
+    rng = np.random.default_rng(4)
+    vectors = (rng.standard_normal((1500, WIDTH)) * np.exp(rng.standard_normal((1500, 1)) * 0.3)).astype(np.float32)
+    embeddings = spark.createDataFrame([(i, 0, v) for i, v in enumerate(vectors.tolist())], "vec_id long, label long, embedding array<float>").repartition(4)
+    log = spark.createDataFrame([(u, 1, (7 * u + j) % 1500) for u in range(60) for j in range(9)], "user_id long, channel_id long, item_id long")
+    got = {}
+    for r in factor_list(SimpleNamespace(spark=spark, embeddings=embeddings, events=log.select("user_id")), log).collect():
+        got.setdefault(r["user_id"], {})[r["rank"]] = r["item_id"]
+    scores = vectors[:60].astype(float) @ vectors.T.astype(float)
+    assert {u: [own[i] for i in sorted(own)] for u, own in got.items()} == {
+        u: truth(scores, u, 0, 1500, 10, {(7 * u + j) % 1500 for j in range(9)}) for u in range(60)}
+
+
 def test_retrieval_edges(spark, factors):
     users, items, scores = factors
     own = users.withColumn("channel_id", F.lit(2))
