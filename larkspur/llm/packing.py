@@ -6,7 +6,6 @@ import base64
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -141,14 +140,28 @@ def fillings(left: dict[int, int], capacity: int, fan: int) -> list[tuple[int, .
 
     grow([], capacity - first, 0)
 
+    whole = 0  # bit x: a size of x is free
+    for size in sizes:
+        whole |= 1 << size
+
     def dominated(filling: tuple[int, ...]) -> bool:
-        slack = capacity - first - sum(filling)
-        for r in range(1, min(3, len(filling)) + 1):
-            for part in combinations(filling, r):
-                own = sum(part)
-                if any(free.get(x, 0) > filling.count(x) and (x > own or r > 1) for x in range(own, own + slack + 1)):
-                    return True
-        return False
+        unused = whole
+        for size in set(filling):
+            if free[size] <= filling.count(size):
+                unused ^= 1 << size
+        one = two = three = 0  # bit x: one member, two or three members add up to x
+        for size in filling:
+            three |= two << size
+            two |= one << size
+            one |= 1 << size
+        # Bit x: an unused size is x + 1 to x + slack.
+        larger, reach, slack = unused >> 1, 1, capacity - first - sum(filling)
+        while reach < slack:
+            step = min(reach, slack - reach)
+            larger |= larger >> step
+            reach += step
+        larger = larger if slack else 0
+        return bool(one & larger or (two | three) & (larger | unused))
 
     kept = [f for f in dict.fromkeys(found) if not dominated(f)] or found[:1]
     return sorted(((first, *f) for f in kept), key=lambda f: (-sum(f), len(f)))

@@ -1,9 +1,10 @@
 """Shards, packed sequences, chats and the pipeline."""
 
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
-from itertools import product
+from itertools import combinations, product
 
 import corpus_pipeline
 import pytest
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from larkspur.llm import queries
 from larkspur.llm.chat import ALIASES, Costs, repaired_chats
-from larkspur.llm.packing import bin_completion, lower_bound, pack, token_pieces
+from larkspur.llm.packing import bin_completion, fillings, lower_bound, pack, token_pieces
 from larkspur.llm.sharding import histogram_shards
 
 
@@ -64,6 +65,30 @@ def brute_bins(sizes, capacity):
     return best
 
 
+def test_dominated_fillings_as_written_out():
+    """The sums on bit sets against the rule: an unused size could take the place of one to three members."""
+    rng = random.Random(6)
+    for _ in range(300):
+        capacity = rng.randint(6, 90)
+        counts = Counter(rng.randint(1, capacity) for _ in range(rng.randint(2, 40)))
+        free = counts - Counter([max(counts)])
+        for first, *filling in fillings(dict(counts), capacity, 10**6):
+            room = capacity - first - sum(filling)
+            left = free - Counter(filling)
+            parts = [(sum(p), r) for r in (1, 2, 3) for p in combinations(filling, r)]
+            worse = any(own + (r == 1) <= x <= own + room for own, r in parts for x in left)
+            assert not worse or len(fillings(dict(counts), capacity, 10**6)) == 1
+
+
+def test_search_over_all_lengths_takes_little_time():
+    """A corpus that has every length: 2,000 nodes took 17 seconds while parts were listed one by one."""
+    rng = random.Random(2)
+    counts = Counter(min(1024, max(1, int(rng.lognormvariate(5.2, 1.0)))) for _ in range(300_000))
+    start = time.process_time()
+    bin_completion(dict(counts), nodes=2000)
+    assert time.process_time() - start < 6
+
+
 def test_bin_completion_is_optimal_on_small_cases():
     rng = random.Random(8)
     for _ in range(60):
